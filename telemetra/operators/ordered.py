@@ -59,13 +59,10 @@ def _chunked(
     placed = with_position(stage_in_order(df, [*by, *order]))
     home = F.expr(f"_position div {chunk_rows}")
     offset = F.col("_position") % chunk_rows
-    chunks = [home]
-    if preceding:
-        chunks.append(F.when(offset >= chunk_rows - preceding, home + 1))
-    if following:
-        chunks.append(F.when(offset < following, home - 1))
-    # one row per chunk that needs it: its own, and a neighbour's near the edges
-    spread = placed.select("*", home.alias("_home"), F.explode(F.array_compact(F.array(*chunks))).alias("_chunk"))
+    # a row goes to its own chunk, and near the edges to the neighbour's as well
+    first = home - (offset < following).cast("long")
+    last = home + (offset >= chunk_rows - preceding).cast("long")
+    spread = placed.select("*", home.alias("_home"), F.explode(F.sequence(first, last)).alias("_chunk"))
     window = Window.partitionBy("_chunk", *by).orderBy("_position")
     return (
         spread.withColumns(dict(columns(window)))

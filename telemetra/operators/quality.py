@@ -10,6 +10,7 @@ from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import is_valid, mean, number
 from telemetra.operators.quantiles import exact_quantiles
 from telemetra.operators.scale import group_sizes, join_groups
+from telemetra.sources.staging import stage
 
 
 def dedup_readings(
@@ -98,6 +99,7 @@ def profile(
     ).select(*by, "_cell.*")
     keys = [*by, "column_name"]
     value = number("_value")
+    # written down: one row per group, whose sizes decide the way to the quartiles
     stats = values.groupBy(*keys).agg(
         F.count_if(~is_valid("_value")).alias("missing_count"),
         F.count(value).alias("value_count"),
@@ -106,7 +108,8 @@ def profile(
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )
-    sizes = group_sizes(values, keys)
+    stats = stage(stats)
+    sizes = group_sizes(stats, keys, F.sum("value_count"))
     quartiles = exact_quantiles(values, keys, (0.25, 0.5, 0.75), "_value", strategy, sizes=sizes)
     return join_groups(stats, quartiles, keys, sizes.groups).select(
         *keys,
@@ -129,7 +132,6 @@ def histogram(
     half a unit around it.
     """
     numbers = df.select(*by, F.col(column).cast("double").alias("_value")).where(is_valid("_value"))
-    sizes = group_sizes(numbers, by)
     ranges = numbers.groupBy(*by).agg(
         F.min("_value").alias("_low"), F.max("_value").alias("_high"), mean("_value", exact).alias("mean_value")
     )
@@ -140,20 +142,26 @@ def histogram(
         F.when(same, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
         "mean_value",
     )
-    share = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    ranges = stage(ranges)
+    groups = ranges.count()
+    low, value = F.col("_low"), F.col("_value")
+    width = (F.col("_high") - low) / bins
+    guess = F.least(F.floor((value - low) / (F.col("_high") - low) * bins), F.lit(bins - 1))
+    # the division may land on the wrong side of an edge; the edges themselves decide
+    below = (value < low + guess * width).cast("int")
+    above = ((value >= low + (guess + 1) * width) & (guess < bins - 1)).cast("int")
     counts = (
-        join_groups(numbers, ranges.drop("mean_value"), by, sizes.groups, "inner")
-        .groupBy(*by, F.least(F.floor(share * bins) + 1, F.lit(bins)).cast("int").alias("bin"))
+        join_groups(numbers, ranges.drop("mean_value"), by, groups, "inner")
+        .groupBy(*by, (guess + 1 - below + above).cast("int").alias("bin"))
         .agg(F.count("*").alias("value_count"))
     )
-    width = (F.col("_high") - F.col("_low")) / bins
     all_bins = ranges.select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")).select(
         *by,
         "bin",
-        (F.col("_low") + (F.col("bin") - 1) * width).alias("bin_start"),
-        (F.col("_low") + F.col("bin") * width).alias("bin_end"),
+        (low + (F.col("bin") - 1) * width).alias("bin_start"),
+        (low + F.col("bin") * width).alias("bin_end"),
         "mean_value",
     )
-    return join_groups(all_bins, counts, [*by, "bin"], sizes.groups * bins).withColumn(
+    return join_groups(all_bins, counts, [*by, "bin"], groups * bins).withColumn(
         "value_count", F.coalesce("value_count", F.lit(0))
     )

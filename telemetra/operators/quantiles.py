@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetra.functions.columns import is_valid, number
+from telemetra.functions.columns import number
 from telemetra.operators.scale import TASK_ROWS, GroupSizes, group_sizes, join_groups
 from telemetra.sources.staging import stage, stage_in_order
 
@@ -29,35 +29,34 @@ def exact_quantiles(
     """
     if strategy not in ("auto", "builtin", "bracketed"):
         raise ValueError(f"unknown strategy: {strategy}")
-    sizes = sizes or group_sizes(df, by)
     if strategy == "auto":
-        strategy = "builtin" if sizes.largest <= TASK_ROWS else "bracketed"
+        largest = (sizes or group_sizes(df, by)).largest
+        strategy = "builtin" if largest <= TASK_ROWS else "bracketed"
     if strategy == "builtin":
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return df.groupBy(*by).agg(F.percentile(number(value), wanted).alias("quantiles"))
 
-    values = df.select(*by, F.col(value).alias("_value"))
-    found = _between_brackets(values, by, probabilities, accuracy, sizes)
-    if not found.where("_found < _asked").isEmpty():  # the sketch missed: no brackets, sort everything
-        found = _between_brackets(values, by, probabilities, None, sizes)
+    values = df.select(*by, number(value).alias("_value"))
+    brackets = stage(_brackets(values, by, probabilities, accuracy))
+    found = stage(_between_brackets(values, brackets, by))
+    if not found.where("_found < _asked").isEmpty():  # the sketch missed: no bounds, sort everything
+        brackets = stage(_brackets(values, by, probabilities, None))
+        found = stage(_between_brackets(values, brackets, by))
     each = [F.max(F.when(F.col("_p") == i, F.col("_quantile"))) for i in range(len(probabilities))]
     per_group = found.groupBy(*by).agg(F.array(*each).alias("quantiles"))
-    return join_groups(values.select(*by).distinct(), per_group, by, sizes.groups)
+    return join_groups(brackets.select(*by), per_group, by, brackets.count())
 
 
-def _between_brackets(
-    values: DataFrame, by: Sequence[str], probabilities: Sequence[float], accuracy: int | None, sizes: GroupSizes
-) -> DataFrame:
+def _between_brackets(values: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group and probability: the quantile, how many ranks it needed and how many were found."""
-    numbers = values.where(is_valid("_value"))
     keys = [*by, "_p"]
-    entries = sizes.groups * len(probabilities)
-    brackets = stage(_brackets(numbers, by, probabilities, accuracy))
+    each = brackets.select(*by, F.explode("_brackets").alias("_bracket")).select(*by, "_bracket.*")
+    groups, entries = brackets.count(), each.count()
 
     # above the bracket: dropped; inside: counted per value; below: counted together under NULL
     inside = F.when(F.col("_low").isNull() | (F.col("_value") >= F.col("_low")), F.col("_value"))
     counts = (
-        join_groups(numbers, brackets, by, sizes.groups, "inner")
+        join_groups(values.where("_value IS NOT NULL"), brackets, by, groups, "inner")
         .select(*by, "_value", F.explode("_brackets").alias("_bracket"))
         .select(*by, "_value", "_bracket._p", "_bracket._low", "_bracket._high")
         .where(F.col("_high").isNull() | (F.col("_value") <= F.col("_high")))
@@ -73,9 +72,7 @@ def _between_brackets(
         .agg(F.sum("_count").alias("_total"))
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
     )
-    ranks = brackets.select(*by, F.explode("_brackets").alias("_bracket")).select(
-        *by, "_bracket._p", F.explode("_bracket._ranks").alias("_rank")
-    )
+    ranks = each.select(*keys, F.explode("_ranks").alias("_rank"))
     located = (
         join_groups(totals, ranks, keys, entries, "inner")
         .where((F.col("_rank._at") >= F.col("_before")) & (F.col("_rank._at") < F.col("_before") + F.col("_total")))
@@ -103,23 +100,24 @@ def _between_brackets(
     )
 
 
-def _brackets(numbers: DataFrame, by: Sequence[str], probabilities: Sequence[float], accuracy: int | None) -> DataFrame:
+def _brackets(values: DataFrame, by: Sequence[str], probabilities: Sequence[float], accuracy: int | None) -> DataFrame:
     """Per group an array with, for every probability, the bounds to keep and the ranks to find.
 
     The sketch is off by at most 1/accuracy of the rows, so bounds taken twice that
     away enclose the ranks. A group too small for that margin, or a margin that
-    leaves the data, has no bound and keeps everything on that side.
+    leaves the data, has no bound and keeps everything on that side. A group without
+    numbers has no ranks.
     """
-    rows = F.count("*").alias("_rows")
+    rows = F.count("_value").alias("_rows")
     if accuracy is None:
         lows = highs = [None] * len(probabilities)
-        sketch = numbers.groupBy(*by).agg(rows)
+        sketch = values.groupBy(*by).agg(rows)
     else:
         margin = 2.0 / accuracy
         lows = [p - margin if p > margin else None for p in probabilities]
         highs = [p + margin if p + margin < 1.0 else None for p in probabilities]
         asked = [p for p in (*lows, *highs) if p is not None]
-        sketch = numbers.groupBy(*by).agg(rows, F.percentile_approx("_value", asked, accuracy).alias("_sketch"))
+        sketch = values.groupBy(*by).agg(rows, F.percentile_approx("_value", asked, accuracy).alias("_sketch"))
     found = iter(range(2 * len(probabilities)))
 
     def bound(probability: float | None) -> Column:
@@ -141,7 +139,7 @@ def _brackets(numbers: DataFrame, by: Sequence[str], probabilities: Sequence[flo
                 F.lit(i).alias("_p"),
                 low_bounds[i].alias("_low"),
                 high_bounds[i].alias("_high"),
-                F.filter(ranks, lambda rank: rank["_weight"] > 0).alias("_ranks"),
+                F.filter(ranks, lambda rank: (rank["_at"] >= 0) & (rank["_weight"] > 0)).alias("_ranks"),
             )
         )
     return sketch.select(*by, F.array(*entries).alias("_brackets"))

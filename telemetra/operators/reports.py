@@ -54,8 +54,9 @@ def series_stats(
 ) -> DataFrame:
     """Last value in time (ties broken by ``order``), maximum, minimum and mean."""
     value = number("value")
+    latest = F.struct(time, *order) if order else F.col(time)  # a lone column can be hash-aggregated
     return df.groupBy(*by).agg(
-        F.max_by("value", F.struct(time, *order)).alias("last_value"),
+        F.max_by("value", latest).alias("last_value"),
         F.max(value).alias("max_value"),
         F.min(value).alias("min_value"),
         mean(value, exact).alias("mean_value"),

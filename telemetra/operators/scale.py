@@ -7,10 +7,10 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_GROUPS = 100_000
-TASK_ROWS = 2_000_000
+TASK_ROWS = 1_000_000
 
 
 class GroupSizes(NamedTuple):
@@ -18,11 +18,14 @@ class GroupSizes(NamedTuple):
     largest: int
 
 
-def group_sizes(df: DataFrame, by: Sequence[str]) -> GroupSizes:
-    """Number of groups and rows of the largest one: reads the key columns, returns one row."""
+def group_sizes(df: DataFrame, by: Sequence[str], size: Column | None = None) -> GroupSizes:
+    """Number of groups and rows of the largest one: reads the key columns, returns one row.
+
+    ``size`` is the aggregate that gives a group's rows, where ``df`` is already counted.
+    """
     row = (
         df.groupBy(*by)
-        .agg(F.count("*").alias("n"))
+        .agg((F.count("*") if size is None else size).alias("n"))
         .agg(F.count("*").alias("groups"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
         .first()
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import WindowSpec
@@ -14,40 +14,46 @@ from telemetra.operators.ordered import CHUNK_ROWS, with_row_frames
 SCORE_TYPES = {"ml_anomaly": "boolean", "ml_confidence": "double", "ml_prediction": "double"}
 
 
-def anomaly_columns(
-    window: WindowSpec,
-    value: str = "value",
-    threshold: float = fixed.ANOMALY_THRESHOLD,
-    history: int = fixed.HISTORY_ROWS,
-    minimum: int = fixed.HISTORY_MINIMUM,
-) -> dict[str, Column]:
-    """True where the value is more than ``threshold`` deviations off its history, else NULL."""
+# Each score is window columns first and an expression over them second: Spark
+# evaluates a window function once per column that mentions it.
+
+
+def history_columns(window: WindowSpec, value: str, history: int = fixed.HISTORY_ROWS) -> dict[str, Column]:
     before = window.rowsBetween(-history, -1)
-    deviation = F.nullif(F.stddev_pop(value).over(before), F.lit(0.0))
-    distance = F.abs(F.col(value) - F.avg(value).over(before)) / deviation
-    raised = (F.count(value).over(before) >= minimum) & (distance > threshold)
     return {
-        "ml_anomaly": F.when(raised, True),
-        "ml_confidence": F.when(raised, fixed.ANOMALY_CONFIDENCE),
+        # every row here is a number, so the frame's size is known from the row's place
+        "_before": F.least(F.row_number().over(window) - 1, F.lit(history)),
+        "_mean": F.avg(value).over(before),
+        "_deviation": F.stddev_pop(value).over(before),
     }
 
 
-def prediction_columns(
-    window: WindowSpec, value: str = "value", method: str = "simple", decimals: int | None = 2
-) -> dict[str, Column]:
-    """``simple``: mean of the last five; ``trend``: last value plus their least-squares slope."""
+def is_anomaly(value: str, threshold: float, minimum: int = fixed.HISTORY_MINIMUM) -> Column:
+    """True where the value is more than ``threshold`` deviations off its history, else NULL."""
+    distance = F.abs(F.col(value) - F.col("_mean")) / F.nullif(F.col("_deviation"), F.lit(0.0))
+    return F.when((F.col("_before") >= minimum) & (distance > threshold), True)
+
+
+def recent_columns(window: WindowSpec, value: str, method: str) -> dict[str, Column]:
     rows = fixed.PREDICTION_ROWS
-    enough = F.count(value).over(window.rowsBetween(1 - rows, 0)) == rows
+    seen = {"_seen_rows": F.row_number().over(window)}
+    if method == "simple":
+        return {**seen, "_recent_mean": F.avg(value).over(window.rowsBetween(1 - rows, 0))}
+    if method == "trend":
+        return {**seen, **{f"_back_{k}": F.lag(value, k).over(window) for k in (1, 3, 4)}}
+    raise ValueError(f"unknown method: {method}")
+
+
+def prediction(value: str, method: str, decimals: int | None) -> Column:
+    """``simple``: mean of the last five; ``trend``: last value plus their least-squares slope."""
+    current, seen = F.col(value), F.col("_seen_rows")
     if method == "simple":
-        prediction = F.when(enough, F.avg(value).over(window.rowsBetween(1 - rows, 0)))
-    elif method == "trend":
-        back = [F.col(value)] + [F.lag(value, k).over(window) for k in (1, 3, 4)]
-        slope = (2 * (back[0] - back[3]) + (back[1] - back[2])) / 10
-        long_enough = F.count(value).over(window.rowsBetween(1 - fixed.HISTORY_MINIMUM, 0)) == fixed.HISTORY_MINIMUM
-        prediction = F.when(long_enough, F.col(value) + slope).when(enough, F.col(value))
+        expected = F.col("_recent_mean")
     else:
-        raise ValueError(f"unknown method: {method}")
-    return {"ml_prediction": prediction if decimals is None else F.round(prediction, decimals)}
+        slope = (2 * (current - F.col("_back_4")) + (F.col("_back_1") - F.col("_back_3"))) / 10
+        expected = F.when(seen >= fixed.HISTORY_MINIMUM, current + slope).otherwise(current)
+    expected = F.when(seen >= fixed.PREDICTION_ROWS, expected)
+    return expected if decimals is None else F.round(expected, decimals)
 
 
 def detect_anomalies(
@@ -66,10 +72,7 @@ def detect_anomalies(
     rows with equal ``by``. By sensor type it mixes all rooms; for a reading's own
     history pass building, room and sensor type.
     """
-    return _score(
-        df, by, order, sensors, value, strategy, chunk_rows,
-        lambda w: anomaly_columns(w, value, threshold),
-    )
+    return _score(df, by, order, threshold, None, sensors, value, None, strategy, chunk_rows)
 
 
 def predict_next(
@@ -84,10 +87,7 @@ def predict_next(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``ml_prediction`` from the last five valid readings, the current one included."""
-    return _score(
-        df, by, order, sensors, value, strategy, chunk_rows,
-        lambda w: prediction_columns(w, value, method, decimals),
-    )
+    return _score(df, by, order, None, method, sensors, value, decimals, strategy, chunk_rows)
 
 
 def score_readings(
@@ -103,14 +103,7 @@ def score_readings(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Anomalies and predictions together, over one sort of the data."""
-
-    def columns(window: WindowSpec) -> Mapping[str, Column]:
-        return {
-            **anomaly_columns(window, value, threshold),
-            **prediction_columns(window, value, method, decimals),
-        }
-
-    return _score(df, by, order, sensors, value, strategy, chunk_rows, columns)
+    return _score(df, by, order, threshold, method, sensors, value, decimals, strategy, chunk_rows)
 
 
 def is_scored(sensors: Sequence[str] | None, value: str = "value") -> Column:
@@ -119,14 +112,39 @@ def is_scored(sensors: Sequence[str] | None, value: str = "value") -> Column:
     return valid if sensors is None else valid & F.coalesce(F.col("sensor_type").isin(*sensors), F.lit(False))
 
 
-def _score(df, by, order, sensors, value, strategy, chunk_rows, columns) -> DataFrame:
+def _score(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    threshold: float | None,
+    method: str | None,
+    sensors: Sequence[str] | None,
+    value: str,
+    decimals: int | None,
+    strategy: str,
+    chunk_rows: int,
+) -> DataFrame:
+    def columns(window: WindowSpec) -> dict[str, Column]:
+        history = {} if threshold is None else history_columns(window, value)
+        return history if method is None else {**history, **recent_columns(window, value, method)}
+
     # rows without a history of their own skip the shuffle instead of forming a group nobody needs
     scored = with_row_frames(
         df.where(is_scored(sensors, value)),
-        by, order, columns, preceding=fixed.HISTORY_ROWS, strategy=strategy, chunk_rows=chunk_rows,
+        by,
+        order,
+        columns,
+        preceding=fixed.HISTORY_ROWS,
+        strategy=strategy,
+        chunk_rows=chunk_rows,
     )
-    added = [name for name in SCORE_TYPES if name in scored.columns]
-    others = df.where(~is_scored(sensors, value)).select(
-        "*", *[F.lit(None).cast(SCORE_TYPES[name]).alias(name) for name in added]
+    scores = {}
+    if threshold is not None:
+        scores["ml_anomaly"] = is_anomaly(value, threshold)
+        scores["ml_confidence"] = F.when(scores["ml_anomaly"], fixed.ANOMALY_CONFIDENCE)
+    if method is not None:
+        scores["ml_prediction"] = prediction(value, method, decimals)
+    others = df.where(~is_scored(sensors, value))
+    return scored.select(*df.columns, *[c.alias(name) for name, c in scores.items()]).union(
+        others.select("*", *[F.lit(None).cast(SCORE_TYPES[name]).alias(name) for name in scores])
     )
-    return scored.select(*others.columns).union(others)

@@ -221,13 +221,13 @@ def a10_missing(spark, sf_dir):
 HISTOGRAM_SQL = f""", ranges AS (
   SELECT sensor_type, min(value) AS low, max(value) AS high, {exact_mean()} AS mean_value
   FROM readings GROUP BY sensor_type),
-counts AS (
-  SELECT sensor_type, CAST(least(floor((value - low) / (high - low) * 30) + 1, 30) AS INTEGER) AS bin, count(*) AS n
-  FROM readings JOIN ranges USING (sensor_type) GROUP BY 1, 2),
-bins AS (SELECT *, CAST(unnest(range(1, 31)) AS INTEGER) AS bin FROM ranges)
-SELECT sensor_type, bin, low + (bin - 1) * ((high - low) / 30) AS bin_start, low + bin * ((high - low) / 30) AS bin_end,
-       mean_value, coalesce(n, 0) AS value_count
-FROM bins LEFT JOIN counts USING (sensor_type, bin)"""
+bins AS (
+  SELECT *, low + (bin - 1) * ((high - low) / 30) AS bin_start, low + bin * ((high - low) / 30) AS bin_end
+  FROM (SELECT *, CAST(unnest(range(1, 31)) AS INTEGER) AS bin FROM ranges) AS numbered)
+SELECT bins.sensor_type, bin, bin_start, bin_end, any_value(mean_value) AS mean_value, count(value) AS value_count
+FROM bins LEFT JOIN readings ON readings.sensor_type = bins.sensor_type
+     AND (value >= bin_start OR bin = 1) AND (value < bin_end OR bin = 30)
+GROUP BY bins.sensor_type, bin, bin_start, bin_end"""
 
 
 @query("A11_histogram", HISTOGRAM_SQL)
