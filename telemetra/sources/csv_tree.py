@@ -35,6 +35,7 @@ def read_sensor_csv(
         spark.read.schema("timestamp_unix LONG, value DOUBLE, _bad STRING")
         .option("header", True)
         .option("columnNameOfCorruptRecord", "_bad")
+        .option("columnPruning", False)  # a short line shows only when all columns are parsed
         .csv(f"{base.rstrip('/')}/{files}")
         .select(
             "timestamp_unix",
