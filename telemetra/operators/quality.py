@@ -89,27 +89,27 @@ def profile(
     """Per group and numeric column: missing values, count, mean, std, min, quartiles, max."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in by]
-    values = df.select(
-        *by,
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in columns]
-            )
-        ).alias("_cell"),
-    ).select(*by, "_cell.*")
-    keys = [*by, "column_name"]
-    value = number("_value")
-    # written down: one row per group, whose sizes decide the way to the quartiles
-    stats = values.groupBy(*keys).agg(
-        F.count_if(~is_valid("_value")).alias("missing_count"),
-        F.count(value).alias("value_count"),
-        mean(value, exact).alias("mean_value"),
-        F.stddev_samp(value).alias("std_value"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
+    # all columns in one pass, then one row per column
+    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    stats = wide.groupBy(*by).agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count_if(~is_valid(c)).alias("missing_count"),
+                F.count(number(c)).alias("value_count"),
+                mean(number(c), exact).alias("mean_value"),
+                F.stddev_samp(number(c)).alias("std_value"),
+                F.min(number(c)).alias("min_value"),
+                F.max(number(c)).alias("max_value"),
+            ).alias(f"_{i}")
+            for i, c in enumerate(columns)
+        ]
     )
-    stats = stage(stats)
+    stats = stage(stats.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(columns))]))))
+    keys = [*by, "column_name"]
     sizes = group_sizes(stats, keys, F.sum("value_count"))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_value")) for c in columns]
+    values = wide.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*")
     quartiles = exact_quantiles(values, keys, (0.25, 0.5, 0.75), "_value", strategy, sizes=sizes)
     return join_groups(stats, quartiles, keys, sizes.groups).select(
         *keys,

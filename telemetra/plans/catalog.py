@@ -684,11 +684,14 @@ def replayed(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], list])
     middle = F.lit(begin + (end - begin) / 2).cast("timestamp_ntz")
     for half in (F.col("event_time") < middle, F.col("event_time") >= middle):
         messages.to_messages(readings.where(half), sent_at=SENT_AT).write.mode("append").text(folder)
-        incoming = messages.parse_readings(messages.read_readings_stream(spark, folder=folder))
-        for running in run(incoming):
+        for running in run(messages.read_readings_stream(spark, folder=folder)):
             running.awaitTermination()
 
 
+def parsed(run: Callable[[DataFrame], list]) -> Callable[[DataFrame], list]:
+    return lambda incoming: run(messages.parse_readings(incoming))
+
+
 STORED_SQL = f"event_time, building_id, room_id, sensor_type, value, {UNIT_SQL} AS unit, 'historical_dataset' AS source"
 ARRIVAL = "event_time, building_id, room_id, value"
 
@@ -699,7 +702,7 @@ ARRIVAL = "event_time, building_id, room_id, value"
 )
 def t1(spark, sf_dir):
     path, progress = new_folder(spark, "raw"), new_folder(spark, "progress")
-    replayed(spark, sf_dir, lambda df: [live.start_raw_stream(df, path, progress, AVAILABLE_NOW)])
+    replayed(spark, sf_dir, parsed(lambda df: [live.start_raw_stream(df, path, progress, AVAILABLE_NOW)]))
     stored = store.read_store(spark, path)
     return as_naive(
         stored.select(*MESSAGE_COLUMNS, "ml_anomaly", "ml_confidence", "ml_prediction"), "event_time"
@@ -709,14 +712,15 @@ def t1(spark, sf_dir):
 @query("T2_alert_stream", f"\nSELECT {STORED_SQL} FROM readings WHERE sensor_type = 'temperature' AND value > 25")
 def t2(spark, sf_dir):
     path, progress = new_folder(spark, "alerts"), new_folder(spark, "progress")
-    replayed(spark, sf_dir, lambda df: [live.start_alert_stream(df, path, progress, AVAILABLE_NOW)])
+    replayed(spark, sf_dir, parsed(lambda df: [live.start_alert_stream(df, path, progress, AVAILABLE_NOW)]))
     return as_naive(store.read_store(spark, path).select(*MESSAGE_COLUMNS), "event_time")
 
 
 @query("T3_aggregate_stream", TOTALS_SQL)
 def t3(spark, sf_dir):
     path, progress = new_folder(spark, "aggregates"), new_folder(spark, "progress")
-    replayed(spark, sf_dir, lambda df: [live.start_aggregate_stream(df, path, progress, AVAILABLE_NOW, exact=True)])
+    run = parsed(lambda df: [live.start_aggregate_stream(df, path, progress, AVAILABLE_NOW, exact=True)])
+    replayed(spark, sf_dir, run)
     return store.KeyedTable(spark, path).read().drop("spark_batch_id", "last_update")
 
 
@@ -737,7 +741,7 @@ def t4(spark, sf_dir):
         writer = scored.writeStream.option("checkpointLocation", progress).format("parquet").outputMode("append")
         return [writer.trigger(**AVAILABLE_NOW).start(path)]
 
-    replayed(spark, sf_dir, run)
+    replayed(spark, sf_dir, parsed(run))
     columns = ("event_time", "building_id", "room_id", "sensor_type", "value")
     scores = ("ml_anomaly", "ml_confidence", "ml_prediction")
     return as_naive(spark.read.parquet(path).select(*columns, *scores), "event_time")
@@ -760,18 +764,19 @@ def c1(spark, sf_dir):
     return jobs.process(hourly(spark, sf_dir), DEDUP_KEYS, TIES, exact=True)
 
 
-@query(
-    "C2_live_pipeline",
-    f""", totals AS (
+PIPELINE_SQL = """, totals AS (
   SELECT sensor_type, count(*) AS message_count, max(value) AS max_value FROM readings GROUP BY sensor_type)
 SELECT 'aggregates' AS part, sensor_type, message_count, max_value FROM totals
 UNION ALL SELECT 'raw', sensor_type, message_count, max_value FROM totals
 UNION ALL SELECT 'alerts', sensor_type, count(*), max(value) FROM readings
-WHERE sensor_type = 'temperature' AND value > 25 GROUP BY sensor_type""",
-)
-def c2(spark, sf_dir):
+WHERE sensor_type = 'temperature' AND value > 25 GROUP BY sensor_type"""
+
+
+def pipeline_stores(spark: SparkSession, sf_dir: str, read_once: bool) -> DataFrame:
     folder, progress = new_folder(spark, "live"), new_folder(spark, "progress")
-    replayed(spark, sf_dir, lambda df: live.start_pipeline(df, folder, progress, AVAILABLE_NOW))
+    replayed(
+        spark, sf_dir, lambda incoming: jobs.live(incoming, folder, progress, AVAILABLE_NOW, read_once=read_once)
+    )
     counted = [F.count("*").alias("message_count"), F.max("value").alias("max_value")]
     parts = {
         "raw": store.read_store(spark, f"{folder}/raw").groupBy("sensor_type").agg(*counted),
@@ -784,6 +789,16 @@ def c2(spark, sf_dir):
     return features.union_readings(*[df.select(F.lit(name).alias("part"), "*") for name, df in parts.items()])
 
 
+@query("C2_live_pipeline", PIPELINE_SQL)
+def c2(spark, sf_dir):
+    return pipeline_stores(spark, sf_dir, read_once=False)
+
+
+@query("C2_live_pipeline_read_once", PIPELINE_SQL)
+def c2_read_once(spark, sf_dir):
+    return pipeline_stores(spark, sf_dir, read_once=True)
+
+
 @query(
     "C3_operations_summary",
     f""", series AS (

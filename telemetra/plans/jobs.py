@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from telemetra.functions import fixed_values as fixed
 from telemetra.operators import alerts, features, quality, replay, reports
 from telemetra.sources import csv_tree, messages, store
-from telemetra.sources.staging import stage, stage_in_order
+from telemetra.sources.staging import passing_tables, stage, stage_in_order
 from telemetra.streaming.queries import start_pipeline
 
 
@@ -24,10 +24,12 @@ def process(
 
     The result is a written table, since several outputs are made from it.
     """
-    clean = stage(quality.dedup_readings(readings, dedup_keys, order))
-    flagged = features.with_time_features(quality.flag_outliers(clean))
-    rolled = features.with_rolling_means(flagged, order=["event_time", *order], exact=exact)
-    return stage_in_order(rolled, ["room_id", "sensor_type", "event_time", *order]).drop("_part", "_row")
+    with passing_tables(readings.sparkSession):
+        clean = stage(quality.dedup_readings(readings, dedup_keys, order))
+        flagged = features.with_time_features(quality.flag_outliers(clean))
+        rolled = features.with_rolling_means(flagged, order=["event_time", *order], exact=exact)
+        processed = stage_in_order(rolled, ["room_id", "sensor_type", "event_time", *order], keep=True)
+    return processed.drop("_part", "_row")
 
 
 def preprocess(spark: SparkSession, base: str, folder: str, rooms: Sequence[str] | None = None) -> DataFrame:
@@ -40,16 +42,15 @@ def preprocess(spark: SparkSession, base: str, folder: str, rooms: Sequence[str]
 
 
 def live(
-    spark: SparkSession,
+    incoming: DataFrame,
     folder: str,
     checkpoint: str,
     trigger: dict | None = None,
     as_of: object = None,
-    **source,
+    read_once: bool = False,
 ) -> list[StreamingQuery]:
-    """Messages to stored readings, alerts and aggregates. ``source`` as in ``read_readings_stream``."""
-    readings = messages.parse_readings(messages.read_readings_stream(spark, **source))
-    return start_pipeline(readings, folder, checkpoint, trigger, as_of)
+    """A stream from ``read_readings_stream`` to stored readings, alerts and aggregates."""
+    return start_pipeline(messages.parse_readings(incoming), folder, checkpoint, trigger, as_of, read_once)
 
 
 def operations_summary(

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from telemetra.sources.staging import file_system, hadoop_path
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
     """Store one micro-batch in a folder of its own, so that writing it again replaces it.
@@ -74,15 +76,15 @@ class KeyedTable:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self._folder(batch_id))
         for outdated in self._versions(batch_id)[:-1]:
-            folder = self._hadoop_path(self._folder(outdated))
-            self._file_system(folder).delete(folder, True)
+            folder = hadoop_path(self.spark, self._folder(outdated))
+            file_system(self.spark, folder).delete(folder, True)
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/version-{version}"
 
     def _versions(self, before: int | None) -> list[int]:
-        root = self._hadoop_path(self.path)
-        files = self._file_system(root)
+        root = hadoop_path(self.spark, self.path)
+        files = file_system(self.spark, root)
         if not files.exists(root):
             return []
         names = [status.getPath().getName() for status in files.listStatus(root)]
@@ -90,15 +92,9 @@ class KeyedTable:
         return [
             n
             for n in numbers
-            if (before is None or n < before) and files.exists(self._hadoop_path(f"{self._folder(n)}/_SUCCESS"))
+            if (before is None or n < before) and files.exists(hadoop_path(self.spark, f"{self._folder(n)}/_SUCCESS"))
         ]
 
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _file_system(self, path):
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
 
 def save_processed(df: DataFrame, folder: str) -> None:
     """The processed table as CSV twice: whole, and divided by sensor type in one pass."""

@@ -9,11 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators.alerts import filter_alerts
 from telemetra.operators.reports import running_totals
-from telemetra.streaming.sinks import BatchFunction, aggregate_sink, alert_sink, raw_sink
+from telemetra.streaming.sinks import (
+    BatchFunction,
+    aggregate_sink,
+    alert_sink,
+    combined_sink,
+    raw_sink,
+    totals_sink,
+)
 
 RAW = "raw_to_store"
 ALERTS = "alerts_to_store"
 AGGREGATES = "aggregates_to_store"
+ALL = "readings_to_store"
 
 
 def start_query(
@@ -58,11 +66,28 @@ def start_aggregate_stream(
 
 
 def start_pipeline(
-    readings: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None, as_of: object = None
+    readings: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    as_of: object = None,
+    read_once: bool = False,
 ) -> list[StreamingQuery]:
-    """All three, storing below ``folder``; wait with ``spark.streams.awaitAnyTermination()``."""
+    """All three, storing below ``folder``; wait with ``spark.streams.awaitAnyTermination()``.
+
+    Three queries read and parse the source three times, each at its own pace.
+    ``read_once`` makes them one query that reads it once and fills the same stores.
+    """
+    stores = [f"{folder.rstrip('/')}/{name}" for name in ("raw", "alerts", "aggregates")]
+    if read_once:
+        sink = combined_sink(
+            raw_sink(stores[0], f"{checkpoint.rstrip('/')}/{RAW}-history", as_of=as_of),
+            alert_sink(stores[1], as_of),
+            totals_sink(stores[2], as_of=as_of),
+        )
+        return [start_query(readings, ALL, sink, checkpoint, "append", trigger)]
     return [
-        start_raw_stream(readings, f"{folder}/raw", checkpoint, trigger, as_of=as_of),
-        start_alert_stream(readings, f"{folder}/alerts", checkpoint, trigger, as_of),
-        start_aggregate_stream(readings, f"{folder}/aggregates", checkpoint, trigger, as_of=as_of),
+        start_raw_stream(readings, stores[0], checkpoint, trigger, as_of=as_of),
+        start_alert_stream(readings, stores[1], checkpoint, trigger, as_of),
+        start_aggregate_stream(readings, stores[2], checkpoint, trigger, as_of=as_of),
     ]

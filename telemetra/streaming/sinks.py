@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import now
+from telemetra.operators.alerts import filter_alerts
 from telemetra.operators.ordered import CHUNK_ROWS
 from telemetra.operators.scoring import is_scored, score_readings
+from telemetra.sources.staging import passing_tables
 from telemetra.sources.store import KeyedTable, upsert_latest, write_batch
 
 BatchFunction = Callable[[DataFrame, int], None]
 READING_ORDER = ("event_time", "building_id", "room_id", "value", "kafka_time")
 
 
+@contextmanager
+def held(batch: DataFrame) -> Iterator[None]:
+    """Keep a batch that is read several times, unless a caller already does."""
+    if batch.is_cached:
+        yield
+        return
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def raw_sink(
     path: str,
     history_path: str,
@@ -37,23 +53,26 @@ def raw_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch = batch.persist()
-        try:
-            history = KeyedTable(batch.sparkSession, history_path)
+        spark = batch.sparkSession
+        with held(batch), passing_tables(spark):
+            history = KeyedTable(spark, history_path)
             earlier = history.read(before=batch_id)
-            # history rows come first: _age counts down to 1 in them and is 0 in the batch
-            current = batch.withColumns({"_seen": F.lit(False), "_age": F.lit(0)})
-            together = current
+            # _age: 50 to 1 for the rows carried over, 0 for those of the batch
+            together = batch.withColumns({"_carried": F.lit(False), "_age": F.lit(0)})
             if earlier is not None:
-                together = current.unionByName(earlier.withColumn("_seen", F.lit(True)), allowMissingColumns=True)
-            together = together.withColumn("_first", -F.col("_age"))
-            arrival = ["_first", *order]
+                together = together.unionByName(
+                    earlier.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+                )
+            together = together.withColumn("_turn", -F.col("_age"))
+            arrival = ["_turn", *order]
             scored = score_readings(
                 together, by, arrival, threshold, method, strategy=strategy, chunk_rows=chunk_rows
-            ).where(~F.col("_seen"))
+            ).where(~F.col("_carried"))
             stamp = now(as_of)
             write_batch(
-                scored.drop("_seen", "_age", "_first").withColumns({"processed_at": stamp, "kafka_timestamp": stamp}),
+                scored.drop("_carried", "_age", "_turn").withColumns(
+                    {"processed_at": stamp, "kafka_timestamp": stamp}
+                ),
                 path,
                 batch_id,
             )
@@ -64,8 +83,6 @@ def raw_sink(
                 .where(F.col("_age") <= fixed.HISTORY_ROWS)
             )
             history.write(kept.select(*carried, "_age"), batch_id)
-        finally:
-            batch.unpersist()
 
     return write
 
@@ -94,3 +111,55 @@ def aggregate_sink(
         table.write(upsert_latest(table.read(before=batch_id), stamped, keys), batch_id)
 
     return write
+
+
+def totals_sink(
+    path: str,
+    keys: Sequence[str] = ("building_id", "sensor_type"),
+    as_of: object = None,
+    exact: bool = False,
+) -> BatchFunction:
+    """Add the sums of a batch of readings to the stored ones; same columns as :func:`aggregate_sink`."""
+    value = F.col("value").cast("decimal(18,4)") if exact else F.col("value")
+    total_type = "decimal(38,4)" if exact else "double"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        table = KeyedTable(batch.sparkSession, path)
+        sums = batch.groupBy(*keys).agg(
+            F.sum(value).cast(total_type).alias("value_sum"),
+            F.count("value").alias("value_count"),
+            F.max("value").alias("max_value"),
+            F.count("*").alias("message_count"),
+        )
+        sums = sums.withColumns({"spark_batch_id": F.lit(batch_id).cast("long"), "last_update": now(as_of)})
+        earlier = table.read(before=batch_id)
+        if earlier is not None:
+            sums = sums.unionByName(earlier.drop("avg_value"))
+        merged = sums.groupBy(*keys).agg(
+            F.sum("value_sum").cast(total_type).alias("value_sum"),
+            F.sum("value_count").alias("value_count"),
+            F.max("max_value").alias("max_value"),
+            F.sum("message_count").alias("message_count"),
+            F.max("spark_batch_id").alias("spark_batch_id"),
+            F.max("last_update").alias("last_update"),
+        )
+        average = F.col("value_sum").cast("double") / F.nullif(F.col("value_count"), F.lit(0))
+        table.write(merged.withColumn("avg_value", average), batch_id)
+
+    return write
+
+
+def combined_sink(raw: BatchFunction, alerts: BatchFunction, totals: BatchFunction) -> BatchFunction:
+    """All three stores from one reading and parsing of the batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        with held(batch):
+            raw(batch, batch_id)
+            alerts(filter_alerts(batch), batch_id)
+            totals(batch, batch_id)
+
+    return write

@@ -1,6 +1,7 @@
 """Streams give what their batch twins give, after restarts and repeated batches too."""
 
 import json
+import os
 from datetime import timedelta
 
 import pytest
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 from conftest import START
 from telemetra.operators.reports import running_totals
 from telemetra.operators.scoring import score_readings
+from telemetra.plans.jobs import live as live_job
 from telemetra.sources import messages, store
+from telemetra.sources.staging import shared_folder
 from telemetra.streaming import queries as live
 from telemetra.streaming.history import detect_anomalies_stream
-from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink
+from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink, totals_sink
 
 NOW = {"availableNow": True}
 SENSORS = ("temperature", "co2", "humidity", "light")
@@ -163,6 +166,48 @@ def test_pipeline_names_and_progress(spark, feed, tmp_path):
         assert (tmp_path / "progress" / q.name / "commits").is_dir()
 
 
+def test_one_query_fills_the_same_stores(spark, feed, tmp_path):
+    for n in (90, 150):
+        feed.add(n)
+        for kind, once in (("three", False), ("one", True)):
+            out, progress = str(tmp_path / kind), str(tmp_path / f"{kind}-progress")
+            incoming = messages.read_readings_stream(spark, folder=str(feed.folder))
+            finish(*live_job(incoming, out, progress, NOW, START, once))
+    columns = ("building_id", "sensor_type", "max_value", "message_count", "spark_batch_id", "last_update")
+    for part, names in (("raw", SCORED), ("alerts", ("event_time", "value"))):
+        three, one = [store.read_store(spark, str(tmp_path / kind / part)) for kind in ("three", "one")]
+        assert rows(one, *names) == rows(three, *names)
+    three, one = [store.KeyedTable(spark, str(tmp_path / kind / "aggregates")).read() for kind in ("three", "one")]
+    assert rows(one, *columns) == rows(three, *columns)
+    averages = [{(r[0], r[1]): r["avg_value"] for r in df.collect()} for df in (three, one)]
+    assert averages[0].keys() == averages[1].keys()
+    for key, value in averages[0].items():
+        assert value == averages[1][key] or averages[1][key] == pytest.approx(value, rel=1e-12)
+
+
+def test_repeated_totals_change_nothing(spark, feed, tmp_path):
+    feed.add(50)
+    batch = feed.batch()
+    sink = totals_sink(str(tmp_path / "totals"), as_of=START, exact=True)
+    for number in (0, 1, 1):
+        sink(batch, number)
+    found = store.KeyedTable(spark, str(tmp_path / "totals")).read()
+    assert found.agg(F.sum("message_count")).first()[0] == 100
+    columns = ("building_id", "sensor_type", "avg_value", "max_value")
+    assert rows(found, *columns) == rows(running_totals(batch, exact=True), *columns)
+
+
+def test_passing_tables_go(spark, feed, tmp_path):
+    feed.add(60)
+    before = staged_folders(spark)
+    raw_sink(str(tmp_path / "raw"), str(tmp_path / "history"), strategy="chunked", chunk_rows=50)(feed.batch(), 0)
+    assert staged_folders(spark) == before
+
+
+def staged_folders(spark):
+    return {name for name in os.listdir(shared_folder(spark)) if name.startswith(("sorted-", "table-"))}
+
+
 def test_stateful_stream_equals_batch(spark, feed, tmp_path):
     by = ("sensor_type",)
     path, progress = str(tmp_path / "scores"), str(tmp_path / "progress")
