@@ -1,19 +1,19 @@
 """Bounded row frames (the last 50 rows, the next row) that do not depend on key counts.
 
-A plain window gives one task per key. Telemetry has few keys and hot ones, so
-beyond a checked size the rows are sorted once over the whole cluster, cut into
-equal chunks by position, and every chunk receives the few rows before and after
-it that its frames reach into.
+A plain window gives one task per key. Telemetry has few keys and hot ones: their
+rows are sorted once over the whole cluster, cut into equal chunks by position, and
+every chunk receives the few rows before and after it that its frames reach into.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from telemetra.operators.scale import TASK_ROWS, group_sizes
+from telemetra.operators.scale import split_hot_groups
 from telemetra.sources.staging import stage_in_order
 
 CHUNK_ROWS = 1_000_000
@@ -32,17 +32,21 @@ def with_row_frames(
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``preceding`` / ``following`` rows away.
 
-    ``order`` must break every tie. ``strategy`` is ``plain``, ``chunked`` or ``auto``
-    (plain while the largest group fits one task). An empty ``by`` orders all rows.
+    ``order`` must break every tie. ``strategy`` is ``plain``, ``chunked`` or ``auto``:
+    chunked for the groups that one task could not handle, plain for the others, after
+    counting them. An empty ``by`` orders all rows, always in chunks.
     """
     if strategy not in ("auto", "plain", "chunked"):
         raise ValueError(f"unknown strategy: {strategy}")
-    if strategy == "auto":
-        small = bool(by) and group_sizes(df, by).largest <= TASK_ROWS
-        strategy = "plain" if small else "chunked"
-    if strategy == "plain":
-        return df.withColumns(dict(columns(Window.partitionBy(*by).orderBy(*order))))
-    return _chunked(df, by, order, columns, preceding, following, chunk_rows)
+    hot, others = (df, None) if strategy == "chunked" or not by else (None, df)
+    if strategy == "auto" and by:
+        hot, others = split_hot_groups(df, by)
+    parts = []
+    if hot is not None:
+        parts.append(_chunked(hot, by, order, columns, preceding, following, chunk_rows))
+    if others is not None:
+        parts.append(others.withColumns(dict(columns(Window.partitionBy(*by).orderBy(*order)))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _chunked(

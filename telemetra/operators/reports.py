@@ -157,6 +157,19 @@ def latest_readings(
     return df.where(F.col("sensor_type") == sensor).orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(limit)
 
 
+def first_rows(
+    df: DataFrame, by: Sequence[str] = ("room_id", "sensor_type"), order: Sequence[str] = ("event_time",), rows: int = 2
+) -> DataFrame:
+    """A look at the data: the first rows of every group."""
+    window = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= rows).drop("_place")
+
+
+def shapes(df: DataFrame, by: Sequence[str] = ("room_id", "sensor_type")) -> DataFrame:
+    """Rows of every group."""
+    return df.groupBy(*by).agg(F.count("*").alias("row_count"))
+
+
 def display_readings(
     df: DataFrame,
     time: str = "event_time",

@@ -353,6 +353,21 @@ def p10(spark, sf_dir):
     return readings.select("event_id", reports.location_column(readings).alias("location"))
 
 
+@query("P14_shapes", "\nSELECT room_id, sensor_type, count(*) AS row_count FROM readings GROUP BY room_id, sensor_type")
+def p14_shapes(spark, sf_dir):
+    return reports.shapes(events_as_readings(spark, sf_dir))
+
+
+@query(
+    "P14_first_rows",
+    """, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY room_id, sensor_type ORDER BY event_time, event_id) AS place FROM readings)
+SELECT * EXCLUDE (place) FROM placed WHERE place <= 2""",
+)
+def p14_first_rows(spark, sf_dir):
+    return reports.first_rows(events_as_readings(spark, sf_dir), order=IN_TIME)
+
+
 @query(
     "U1_union_readings",
     f"""

@@ -89,10 +89,13 @@ def historical_messages(
     return messages.to_messages(timed, sent_at=sent_at, keep=keep)
 
 
-def exploration(readings: DataFrame, column: str = "value", exact: bool = False) -> dict[str, DataFrame]:
-    """Missing values, description and distribution per sensor."""
+def exploration(
+    readings: DataFrame, column: str = "value", order: Sequence[str] = ("event_time",), exact: bool = False
+) -> dict[str, DataFrame]:
+    """Size, sample, missing values, description and distribution of the readings."""
     return {
-        "sample": readings.limit(2),
+        "shapes": reports.shapes(readings),
+        "sample": reports.first_rows(readings, order=order),
         "missing": quality.missing_values(readings),
         "profile": quality.profile(readings, columns=[column], exact=exact),
         "histogram": quality.histogram(readings, column, exact=exact),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import lookup
 
-FILES = "*/{" + ",".join(f"{s}.csv" for s in fixed.CSV_SENSORS) + "}"
+FILES = "{" + ",".join(f"{s}.csv" for s in fixed.CSV_SENSORS) + "}"
 ROOM_AND_SENSOR = r"([^/]+)/([^/]+)\.csv$"
 
 
@@ -19,18 +19,21 @@ def read_sensor_csv(
     map_pir: bool = True,
     rooms: Sequence[str] | None = None,
     building: str = fixed.BUILDING,
-    files: str = FILES,
+    files: str | None = None,
     room_and_sensor: str = ROOM_AND_SENSOR,
     check_width: bool = True,
 ) -> DataFrame:
     """All sensor files of a tree as one scan; the listing and the parsing are distributed.
 
     Columns are taken by position (Unix seconds, value) below a header line. Room
-    and sensor come from the path: ``files`` is the glob below ``base`` and
-    ``room_and_sensor`` a pattern with those two groups. ``check_width`` leaves out
-    files with fewer than two columns, at the price of a first pass over the tree.
-    ``source_file`` and ``source_row`` give the order in which the rows were stored.
+    and sensor come from the path: for another layout give ``files``, the glob below
+    ``base``, and ``room_and_sensor``, a pattern with those two groups. ``check_width``
+    leaves out files with fewer than two columns, at the price of a first pass over the
+    tree. ``source_file`` and ``source_row`` give the order in which the rows were stored.
     """
+    if files is None:
+        chosen = "*" if rooms is None else "{" + ",".join(rooms) + "}"
+        files = f"{chosen}/{FILES}"
     lines = (
         spark.read.schema("timestamp_unix LONG, value DOUBLE, _bad STRING")
         .option("header", True)

@@ -94,5 +94,6 @@ def test_summary_and_exploration(readings):
     }
     report = exploration(df)
     assert report["sample"].count() == 2
+    assert report["shapes"].first()["row_count"] == 300
     assert report["histogram"].agg(F.sum("value_count")).first()[0] == 300
     assert report["profile"].first()["q50"] == 1149.5

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from conftest import column
+from telemetra.operators import scale
 from telemetra.operators.features import with_rolling_means
 from telemetra.operators.replay import replay_schedule
 from telemetra.operators.scoring import detect_anomalies, predict_next, score_readings
@@ -121,6 +122,24 @@ def test_chunks_do_not_show(readings, chunk_rows):
     assert rows(strategy="chunked", chunk_rows=chunk_rows) == rows(strategy="plain")
 
 
+@pytest.mark.parametrize("by", [("sensor_type",), ("room_id", "sensor_type"), ()])
+def test_hot_groups_alone_are_chunked(readings, monkeypatch, by):
+    df = readings(mixed_rows(2500))
+
+    def rows(**options):
+        scored = score_readings(df, by, ORDER, method="trend", **options)
+        return sorted(map(repr, scored.drop("value").collect())), scored
+
+    wanted, _ = rows(strategy="chunked", chunk_rows=100)
+    monkeypatch.setattr(scale, "TASK_ROWS", 300)
+    found, scored = rows(chunk_rows=100)
+    assert found == wanted
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_chunk" in plan
+    if by:
+        assert plan.count("stddev_pop(") == 2 and "LeftAnti" in plan
+
+
 def test_chunk_must_cover_the_frame(readings):
     with pytest.raises(ValueError):
         detect_anomalies(readings([("co2", 1.0)]), order=ORDER, strategy="chunked", chunk_rows=49)

@@ -5,6 +5,7 @@ import math
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from conftest import START, column
@@ -150,6 +151,11 @@ def test_stream_source_needs_one_place(spark):
         messages.read_readings_stream(spark, servers="kafka:9092", folder="/tmp")
 
 
+def test_kafka_is_configuration(spark):
+    with pytest.raises(AnalysisException, match="kafka"):  # the connector is not among the jars here
+        messages.read_readings_stream(spark, servers="kafka:9092", options={"maxOffsetsPerTrigger": 10})
+
+
 def test_batch_is_replaced_when_written_again(spark, readings, tmp_path):
     path = str(tmp_path / "store")
     df = readings([("co2", 1.0), ("light", 2.0), (None, 3.0)])
