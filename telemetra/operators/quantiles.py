@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.functions.columns import number
-from telemetra.operators.scale import TASK_ROWS, GroupSizes, group_sizes, join_groups
+from telemetra.operators.scale import GroupSizes, group_sizes, join_groups
 from telemetra.sources.staging import stage, stage_in_order
 
+IN_MEMORY_ROWS = 250_000
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -31,7 +33,7 @@ def exact_quantiles(
         raise ValueError(f"unknown strategy: {strategy}")
     if strategy == "auto":
         largest = (sizes or group_sizes(df, by)).largest
-        strategy = "builtin" if largest <= TASK_ROWS else "bracketed"
+        strategy = "builtin" if largest <= IN_MEMORY_ROWS else "bracketed"
     if strategy == "builtin":
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return df.groupBy(*by).agg(F.percentile(number(value), wanted).alias("quantiles"))

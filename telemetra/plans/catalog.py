@@ -745,8 +745,7 @@ def t3(spark, sf_dir):
         f"event_time, building_id, room_id, sensor_type, value, {ANOMALY_SQL}, simple AS ml_prediction",
         order=ARRIVAL,
         by="building_id, room_id, sensor_type",
-    )
-    + " WHERE sensor_type IN ('temperature', 'co2', 'humidity')",
+    ),
 )
 def t4(spark, sf_dir):
     path, progress = new_folder(spark, "scores"), new_folder(spark, "progress")

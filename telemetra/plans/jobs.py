@@ -19,22 +19,29 @@ def process(
     dedup_keys: Sequence[str] = ("timestamp_unix", "room_id", "sensor_type"),
     order: Sequence[str] = ("source_file", "source_row"),
     exact: bool = False,
+    total_order: bool = False,
 ) -> DataFrame:
     """Deduplicate, flag outliers, add time and rolling features; sorted by room, sensor, time.
 
-    The result is a written table, since several outputs are made from it.
+    The result is a written table, since several outputs are made from it. Each of its
+    files is sorted; ``total_order`` sorts from file to file too, for one more shuffle.
     """
+    sorting = ["room_id", "sensor_type", "event_time", *order]
     with passing_tables(readings.sparkSession):
         clean = stage(quality.dedup_readings(readings, dedup_keys, order))
         flagged = features.with_time_features(quality.flag_outliers(clean))
         rolled = features.with_rolling_means(flagged, order=["event_time", *order], exact=exact)
-        processed = stage_in_order(rolled, ["room_id", "sensor_type", "event_time", *order], keep=True)
-    return processed.drop("_part", "_row")
+        if total_order:
+            return stage_in_order(rolled, sorting, keep=True).drop("_part", "_row")
+        return stage(rolled.sortWithinPartitions(*sorting), keep=True)
 
 
-def preprocess(spark: SparkSession, base: str, folder: str, rooms: Sequence[str] | None = None) -> DataFrame:
+def preprocess(
+    spark: SparkSession, base: str, folder: str, rooms: Sequence[str] | None = None, total_order: bool = False
+) -> DataFrame:
     """Sensor files to processed CSV plus two summaries, all below ``folder``; returns the table."""
-    processed = process(csv_tree.read_sensor_csv(spark, base, map_pir=False, rooms=rooms))
+    readings = csv_tree.read_sensor_csv(spark, base, map_pir=False, rooms=rooms)
+    processed = process(readings, total_order=total_order)
     store.save_processed(processed, folder)
     store.export_csv(reports.processing_summary(processed), f"{folder}/summary")
     store.export_csv(reports.processing_summary_by_sensor(processed), f"{folder}/summary_by_sensor")

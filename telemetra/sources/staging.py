@@ -15,6 +15,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 _passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
@@ -25,9 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="telemetra-")
-    spark.conf.set(_CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="telemetra-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

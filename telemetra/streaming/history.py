@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.operators.scoring import is_scored
+from telemetra.operators.scoring import SCORE_TYPES, is_scored
 
 # the processor travels to the executors with the query; they need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -89,12 +89,12 @@ def detect_anomalies_stream(
     order: Sequence[str] = ("event_time",),
     threshold: float = fixed.ANOMALY_THRESHOLD,
 ) -> DataFrame:
-    """Add ml_anomaly, ml_confidence and ml_prediction to the scored readings of a stream.
+    """Add ml_anomaly, ml_confidence and ml_prediction to a stream of readings.
 
     Readings count in order of arrival; those that arrive in one block are put in
-    ``order`` first. Other sensor types and missing values are left out: they have no
-    score. One task serves a key, so key by room on large streams, or use the raw
-    sink, which divides hot keys too.
+    ``order`` first. Other sensor types and missing values pass by without scores. The
+    state is 50 values per key and one task serves a key, which suits many keys such as
+    rooms; for few or hot keys use the raw sink, which divides them.
     """
     readings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)  # list state needs this store
     output = T.StructType(
@@ -123,6 +123,8 @@ def detect_anomalies_stream(
             timeMode="none",
         )
     )
-    return scored.select(
+    scored = scored.select(
         *readings.columns, "ml_anomaly", "ml_confidence", F.round("_prediction", 2).alias("ml_prediction")
     )
+    others = readings.where(~is_scored(fixed.SCORED_SENSORS))
+    return scored.union(others.select("*", *[F.lit(None).cast(t).alias(n) for n, t in SCORE_TYPES.items()]))

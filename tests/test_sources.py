@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F, types as T
 from conftest import START, column
 from telemetra.operators.reports import running_totals
 from telemetra.plans.jobs import historical_messages, preprocess
-from telemetra.sources import messages, store
+from telemetra.sources import messages, staging, store
 from telemetra.sources.csv_tree import read_sensor_csv
 from telemetra.sources.staging import shared_folder, stage, stage_in_order
 
@@ -68,9 +69,10 @@ def test_sensor_tree_options(spark, tree):
     assert unchecked.where("sensor_type = 'light'").count() == 2
 
 
-def test_preprocess_writes_everything(spark, tree, tmp_path):
+@pytest.mark.parametrize("total_order", [False, True])
+def test_preprocess_writes_everything(spark, tree, tmp_path, total_order):
     folder = str(tmp_path / "out")
-    processed = preprocess(spark, tree, folder)
+    processed = preprocess(spark, tree, folder, total_order=total_order)
     assert processed.count() == 9  # one duplicate
     assert [r["value"] for r in processed.where(f"timestamp_unix = {BASE_TIME + 2}").collect()] == [470.0]
     # the missing values and the extremes of each sensor lie outside its quantiles
@@ -219,8 +221,10 @@ def test_staged_table_keeps_its_schema(spark):
     assert [f.dataType for f in stage(df).schema] == [T.LongType(), T.StringType(), T.ArrayType(T.DoubleType())]
 
 
-def test_shared_folder_is_the_clusters(spark):
-    folder = shared_folder(spark)
-    assert folder == shared_folder(spark)
+def test_shared_folder(spark, monkeypatch):
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert folder == configured.rstrip("/")
+    if configured:
+        assert shared_folder(spark) == configured.rstrip("/")
+    monkeypatch.setattr(staging, "_CHECKPOINT_SETTING", "spark.no.such.setting")
+    own = shared_folder(spark)
+    assert os.path.isdir(own) and shared_folder(spark) == own
