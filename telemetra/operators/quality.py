@@ -28,10 +28,15 @@ def flag_outliers(
     by: Sequence[str] = ("sensor_type",),
     probabilities: Sequence[float] = fixed.OUTLIER_QUANTILES,
     strategy: str = "auto",
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``is_outlier``: outside the 1 % / 99 % quantiles of the group, or no number at all."""
-    sizes = group_sizes(df, by)
-    bounds = exact_quantiles(df, by, probabilities, strategy=strategy, sizes=sizes).select(
+    """Add ``is_outlier``: outside the 1 % / 99 % quantiles of the group, or no number at all.
+
+    ``measured_on`` is a cheaper table with the same readings to take the quantiles from.
+    """
+    measured = df if measured_on is None else measured_on
+    sizes = group_sizes(measured, by)
+    bounds = exact_quantiles(measured, by, probabilities, strategy=strategy, sizes=sizes).select(
         *by, F.col("quantiles")[0].alias("_low"), F.col("quantiles")[1].alias("_high")
     )
     inside = F.col("value").between(F.col("_low"), F.col("_high"))

@@ -29,11 +29,12 @@ def process(
     sorting = ["room_id", "sensor_type", "event_time", *order]
     with passing_tables(readings.sparkSession):
         clean = stage(quality.dedup_readings(readings, dedup_keys, order))
-        flagged = features.with_time_features(quality.flag_outliers(clean))
-        rolled = features.with_rolling_means(flagged, order=["event_time", *order], exact=exact)
+        # the windows shuffle the narrow table; columns that need only their row come after
+        rolled = features.with_rolling_means(clean, order=["event_time", *order], exact=exact)
+        processed = features.with_time_features(quality.flag_outliers(rolled, measured_on=clean))
         if total_order:
-            return stage_in_order(rolled, sorting, keep=True).drop("_part", "_row")
-        return stage(rolled.sortWithinPartitions(*sorting), keep=True)
+            return stage_in_order(processed, sorting, keep=True).drop("_part", "_row")
+        return stage(processed.sortWithinPartitions(*sorting), keep=True)
 
 
 def preprocess(
