@@ -31,7 +31,8 @@ def history_columns(window: WindowSpec, value: str, history: int = fixed.HISTORY
 def is_anomaly(value: str, threshold: float, minimum: int = fixed.HISTORY_MINIMUM) -> Column:
     """True where the value is more than ``threshold`` deviations off its history, else NULL."""
     distance = F.abs(F.col(value) - F.col("_mean")) / F.nullif(F.col("_deviation"), F.lit(0.0))
-    return F.when((F.col("_before") >= minimum) & (distance > threshold), True)
+    # an infinite value in the history makes the distance NaN, which Spark orders above all numbers
+    return F.when((F.col("_before") >= minimum) & (distance > threshold) & ~F.isnan(distance), True)
 
 
 def recent_columns(window: WindowSpec, value: str, method: str) -> dict[str, Column]:

@@ -49,16 +49,17 @@ def _from_folder(reader: DataFrameReader | DataStreamReader, folder: str, option
     return lines.select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
 
 
-def parse_readings(messages: DataFrame) -> DataFrame:
-    """Message bytes to columns. Text that does not parse stays, as a row of NULLs with ``is_malformed``."""
+def parse_readings(messages: DataFrame, keep_malformed: bool = True) -> DataFrame:
+    """Message bytes to columns. Text that does not parse becomes a row of NULLs with ``is_malformed``."""
     parsed = messages.select(
         F.from_json(F.col("value").cast("string"), fixed.READING_SCHEMA).alias("data"),
         F.col("timestamp").alias("kafka_time"),
     ).select("data.*", "kafka_time")
     nothing = reduce(and_, [F.col(name).isNull() for name in fixed.READING_SCHEMA.fieldNames()])
-    return parsed.select(
+    readings = parsed.select(
         "*", F.try_to_timestamp(F.col("timestamp")).alias("event_time"), nothing.alias("is_malformed")
     )
+    return readings if keep_malformed else readings.where(~F.col("is_malformed"))
 
 
 def to_messages(

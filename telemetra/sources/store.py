@@ -62,6 +62,7 @@ class KeyedTable:
 
     A batch builds on the newest complete version before its own number, so that
     running it again gives the same table. The version before it is kept for readers.
+    Every batch writes the whole table, which therefore should stay small.
     """
 
     def __init__(self, spark: SparkSession, path: str):

@@ -1,4 +1,8 @@
-"""The three live queries over one stream of parsed readings."""
+"""The three live queries over one stream of parsed readings.
+
+A store belongs to its checkpoint: batches are numbered by the checkpoint, and a new one
+starts again from 0 and replaces what the old one stored. Start both afresh, or neither.
+"""
 
 from __future__ import annotations
 

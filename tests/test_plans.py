@@ -23,6 +23,16 @@ def test_no_python_and_no_cross_join(spark, name):
         assert operator not in plan
 
 
+def test_scans_read_what_they_need(spark):
+    def schema(name):
+        return plan_of(entry.queries()[name](spark, SF_DIR)).split("ReadSchema: ")[1].split("\n")[0]
+
+    assert schema("A1_running_totals") == "struct<user_id:bigint,event_type:string,value:double>"
+    assert schema("A5_store_totals") == "struct<event_type:string>"
+    recent = plan_of(entry.queries()["F2_recent"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts," in recent
+
+
 def test_copies_are_dropped_before_the_shuffle(readings):
     plan = plan_of(dedup_readings(readings([("co2", 1.0)]), ["room_id", "sensor_type"], ["event_id"]))
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]

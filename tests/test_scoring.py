@@ -42,6 +42,11 @@ def test_constant_history_is_never_flagged(readings):
     assert flags(readings([("co2", v) for v in [0.1] * 10 + [99.0]]))[-1] is None
 
 
+def test_infinite_value_is_flagged_and_spoils_its_history(readings):
+    values = [1.0, 3.0] * 5 + [float("inf")] + [1.0, 99.0] * 5
+    assert flags(readings([("co2", v) for v in values])) == [None] * 10 + [True] + [None] * 10
+
+
 def test_only_fifty_earlier_values_count(readings):
     # ten wild values first: once fifty tame ones follow, they no longer widen the deviation
     values = [0.0, 1000.0] * 5 + [1.0, 3.0] * 25 + [4.6]

@@ -100,6 +100,9 @@ def test_malformed_messages_stay(spark):
     found = parsed(spark, "{bad", "[1,2]", "null", "", "{}")
     assert len(found) == 5
     assert all(r["is_malformed"] and r["value"] is None and r["sensor_type"] is None for r in found)
+    lines = spark.createDataFrame([("{bad",), ('{"value":1}',)], "value STRING")
+    lines = lines.withColumn("timestamp", F.current_timestamp())
+    assert messages.parse_readings(lines, keep_malformed=False).count() == 1
 
 
 def test_parsed_values(spark):
