@@ -111,7 +111,10 @@ def a4(spark, sf_dir):
     return reports.by_location(readings, "co2", WEEK, newest_time(readings), exact=True)
 
 
-@query("A5_store_totals", "\nSELECT count(*) AS reading_count, count(DISTINCT sensor_type) AS sensor_types FROM readings")
+@query(
+    "A5_store_totals",
+    "\nSELECT count(*) AS reading_count, count(DISTINCT sensor_type) AS sensor_types FROM readings",
+)
 def a5(spark, sf_dir):
     return reports.store_totals(events_as_readings(spark, sf_dir))
 
@@ -539,7 +542,10 @@ schedule AS (
                  ELSE CAST(0 AS DOUBLE) END AS wait_seconds FROM gaps)"""
 
 
-@query("W5_replay_schedule", f"{SCHEDULE_SQL}\nSELECT event_id, gap_seconds, wait_seconds, release_seconds FROM schedule")
+@query(
+    "W5_replay_schedule",
+    f"{SCHEDULE_SQL}\nSELECT event_id, gap_seconds, wait_seconds, release_seconds FROM schedule",
+)
 def w5(spark, sf_dir):
     timed = replay.replay_schedule(events_as_readings(spark, sf_dir), order=TIES, chunk_rows=1000)
     return timed.select("event_id", "gap_seconds", "wait_seconds", "release_seconds")

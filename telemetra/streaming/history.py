@@ -65,17 +65,23 @@ class HistoryScorer(StatefulProcessor):
         before = np.lib.stride_tricks.sliding_window_view(padded, self.size)[start : len(series)]
         count = np.count_nonzero(~np.isnan(before), axis=1)
         total = np.maximum(count, 1)
-        average = np.nansum(before, axis=1) / total
-        deviation = np.sqrt(np.nansum((before - average[:, None]) ** 2, axis=1) / total)
         current = series[start:]
-        raised = (
-            (count >= self.minimum)
-            & (deviation > 0)
-            & (np.abs(current - average) > self.threshold * deviation)
-        )
-        last = np.concatenate([np.full(self.recent - 1, np.nan), series])
-        recent = np.lib.stride_tricks.sliding_window_view(last, self.recent)[start:]
-        prediction = recent.mean(axis=1)
+        with np.errstate(invalid="ignore"):  # infinite values: no finite average, nothing raised
+            # seen from the latest value, equal values have a deviation of exactly 0
+            latest = before[:, -1:]
+            moved = before - latest
+            average = np.nansum(moved, axis=1) / total
+            deviation = np.sqrt(np.nansum((moved - average[:, None]) ** 2, axis=1) / total)
+            average = average + latest[:, 0]
+            raised = (
+                (count >= self.minimum)
+                & (deviation > 0)
+                & np.isfinite(average)
+                & (np.abs(current - average) / np.where(deviation > 0, deviation, 1) > self.threshold)
+            )
+            last = np.concatenate([np.full(self.recent - 1, np.nan), series])
+            recent = np.lib.stride_tricks.sliding_window_view(last, self.recent)[start:]
+            prediction = recent.mean(axis=1)
         return {
             "ml_anomaly": pd.Series(np.where(raised, True, None), dtype="object"),
             "ml_confidence": pd.Series(np.where(raised, self.confidence, None), dtype="object"),

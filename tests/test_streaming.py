@@ -4,6 +4,7 @@ import json
 import os
 from datetime import timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from telemetra.plans.jobs import live as live_job
 from telemetra.sources import messages, store
 from telemetra.sources.staging import shared_folder
 from telemetra.streaming import queries as live
-from telemetra.streaming.history import detect_anomalies_stream
+from telemetra.streaming.history import HistoryScorer, detect_anomalies_stream
 from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink, totals_sink
 
 NOW = {"availableNow": True}
@@ -220,3 +221,19 @@ def test_stateful_stream_equals_batch(spark, feed, tmp_path, by):
     stored = spark.read.parquet(path)
     assert stored.where("ml_anomaly").count() > 0
     assert rows(stored, *SCORED) == rows(wanted, *SCORED)
+
+
+@pytest.mark.parametrize("tail", [[99.0], [float("inf"), 1.0, 99.0], [0.1, 0.1, 0.3]])
+def test_block_scores_equal_the_loop(tail):
+    values = [0.1] * 12 + tail + [0.1, 0.4, 0.2, 7.0] * 30 + [1e6]
+    scorer = HistoryScorer(["event_time"], [], 2.5, 0.95, 50, 10, 5)
+    found = []
+    for block in (values[:7], values[7:8], values[8:100], values[100:]):
+        seen = len(found)
+        past = values[max(0, seen - 50) : seen]
+        found += list(scorer._scores(np.array([*past, *block]), len(past))["ml_anomaly"])
+    for i, value in enumerate(values):
+        past = values[max(0, i - 50) : i]
+        raised = len(past) >= 10 and len(set(past)) > 1 and np.isfinite(past).all()
+        raised = raised and abs(value - np.mean(past)) / np.std(past) > 2.5
+        assert found[i] is (True if raised else None)
