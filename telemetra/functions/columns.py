@@ -67,10 +67,10 @@ def severity(bands: Mapping[str, Bands], sensor: str = "sensor_type", value: str
     return result
 
 
-def iso_time(time: str | Column) -> Column:
+def iso_time(time: str | Column, separator: str = "T") -> Column:
     """ISO-8601 text; the fraction is written only when there is one."""
     col = (F.col(time) if isinstance(time, str) else time).cast("timestamp")
-    whole = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+    whole = F.date_format(col, f"yyyy-MM-dd'{separator}'HH:mm:ss")
     fraction = F.date_format(col, "SSSSSS")
     return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
 

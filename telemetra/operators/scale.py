@@ -60,6 +60,8 @@ def join_groups(df: DataFrame, per_group: DataFrame, by: Sequence[str], groups:
     Broadcast only when ``groups`` (counted, not guessed) is small; beyond that a
     shuffled join, whose hot keys adaptive execution splits.
     """
+    if not by:
+        raise ValueError("name at least one column to group by")
     right = per_group.withColumnsRenamed({key: f"_right_{key}" for key in by})
     if groups <= BROADCAST_GROUPS:
         right = F.broadcast(right)

@@ -19,7 +19,6 @@ from telemetra.sources.adapters import (
 )
 from telemetra.sources.staging import new_folder
 from telemetra.streaming import queries as live
-from telemetra.streaming.history import detect_anomalies_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -621,16 +620,15 @@ def s2(spark, sf_dir):
 def processed_files(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "processed")
     readings = features.with_time_features(events_as_readings(spark, sf_dir))
-    store.save_processed(readings.withColumn("event_time", F.col("event_time").cast("timestamp")), folder)
+    store.save_processed(readings, folder)
     return folder
 
 
 PROCESSED_SCHEMA = (
-    "event_id LONG, event_time TIMESTAMP, building_id STRING, room_id STRING, sensor_type STRING, value DOUBLE, "
+    "event_id LONG, timestamp TIMESTAMP, building_id STRING, room_id STRING, sensor_type STRING, value DOUBLE, "
     "hour INT, day_of_week INT, is_weekend INT, month INT, day INT"
 )
-# CSV keeps milliseconds
-PROCESSED_SQL = f"""event_id, date_trunc('millisecond', event_time) AS event_time, building_id, room_id, sensor_type,
+PROCESSED_SQL = f"""event_id, event_time AS "timestamp", building_id, room_id, sensor_type,
        value, {TIME_FEATURES_SQL}"""
 
 
@@ -638,14 +636,14 @@ PROCESSED_SQL = f"""event_id, date_trunc('millisecond', event_time) AS event_tim
 def s7(spark, sf_dir):
     folder = processed_files(spark, sf_dir)
     stored = spark.read.schema(PROCESSED_SCHEMA).option("header", True).csv(f"{folder}/all")
-    return as_naive(stored, "event_time")
+    return as_naive(stored, "timestamp")
 
 
 @query("S8_processed_csv_by_sensor", f"\nSELECT {PROCESSED_SQL}, sensor_type AS sensor FROM readings")
 def s8(spark, sf_dir):
     folder = processed_files(spark, sf_dir)
     stored = spark.read.schema(f"{PROCESSED_SCHEMA}, sensor STRING").option("header", True).csv(f"{folder}/by_sensor")
-    return as_naive(stored, "event_time")
+    return as_naive(stored, "timestamp")
 
 
 @query("S9_export_csv", f"\nSELECT {DISPLAY_SQL} FROM readings")
@@ -755,16 +753,12 @@ def t3(spark, sf_dir):
 )
 def t4(spark, sf_dir):
     path, progress = new_folder(spark, "scores"), new_folder(spark, "progress")
-
-    def run(incoming: DataFrame) -> list:
-        scored = detect_anomalies_stream(incoming, order=("event_time", "value"))
-        writer = scored.writeStream.option("checkpointLocation", progress).format("parquet").outputMode("append")
-        return [writer.trigger(**AVAILABLE_NOW).start(path)]
-
-    replayed(spark, sf_dir, parsed(run))
+    order = ("event_time", "value")
+    run = parsed(lambda df: [live.start_stateful_raw_stream(df, path, progress, AVAILABLE_NOW, order=order)])
+    replayed(spark, sf_dir, run)
     columns = ("event_time", "building_id", "room_id", "sensor_type", "value")
     scores = ("ml_anomaly", "ml_confidence", "ml_prediction")
-    return as_naive(spark.read.parquet(path).select(*columns, *scores), "event_time")
+    return as_naive(store.read_store(spark, path).select(*columns, *scores), "event_time")
 
 
 # --- jobs ------------------------------------------------------------------

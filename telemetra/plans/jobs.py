@@ -32,6 +32,9 @@ def process(
         # the windows shuffle the narrow table; columns that need only their row come after
         rolled = features.with_rolling_means(clean, order=["event_time", *order], exact=exact)
         processed = features.with_time_features(quality.flag_outliers(rolled, measured_on=clean))
+        added = [name for name in processed.columns if name not in rolled.columns]
+        means = [name for name in rolled.columns if name not in clean.columns]
+        processed = processed.select(*clean.columns, *added, *means)
         if total_order:
             return stage_in_order(processed, sorting, keep=True).drop("_part", "_row")
         return stage(processed.sortWithinPartitions(*sorting), keep=True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from telemetra.functions.columns import iso_time
 from telemetra.sources.staging import file_system, hadoop_path
 
 
@@ -99,8 +100,14 @@ class KeyedTable:
 
 def save_processed(df: DataFrame, folder: str) -> None:
     """The processed table as CSV twice: whole, and divided by sensor type in one pass."""
-    flat = df.drop("source_file", "source_row")
-    flat.write.mode("overwrite").option("header", True).csv(f"{folder}/all")
+    inner = ("source_file", "source_row")
+    columns = [
+        iso_time("event_time", " ").alias("timestamp") if name == "event_time" else F.col(name)
+        for name in df.columns
+        if name not in inner
+    ]
+    flat = df.select(*columns)
+    export_csv(flat, f"{folder}/all")
     # the directory name takes the sensor, the files keep it too
     by_sensor = flat.withColumn("sensor", F.col("sensor_type"))
     by_sensor.write.mode("overwrite").option("header", True).partitionBy("sensor").csv(f"{folder}/by_sensor")

@@ -13,12 +13,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators.alerts import filter_alerts
 from telemetra.operators.reports import running_totals
+from telemetra.streaming.history import detect_anomalies_stream
 from telemetra.streaming.sinks import (
+    RAW_STAMPS,
     BatchFunction,
     aggregate_sink,
     alert_sink,
     combined_sink,
     raw_sink,
+    store_sink,
     totals_sink,
 )
 
@@ -49,6 +52,22 @@ def start_raw_stream(
     return start_query(readings, RAW, sink, checkpoint, "append", trigger)
 
 
+def start_stateful_raw_stream(
+    readings: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    as_of: object = None,
+    **scoring,
+) -> StreamingQuery:
+    """The same with histories in the state store, for many keys such as rooms.
+
+    ``scoring`` goes to :func:`detect_anomalies_stream`.
+    """
+    scored = detect_anomalies_stream(readings, **scoring)
+    return start_query(scored, RAW, store_sink(path, RAW_STAMPS, as_of), checkpoint, "append", trigger)
+
+
 def start_alert_stream(
     readings: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, as_of: object = None
 ) -> StreamingQuery:

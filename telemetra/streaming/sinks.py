@@ -16,6 +16,7 @@ from telemetra.sources.staging import passing_tables
 from telemetra.sources.store import KeyedTable, upsert_latest, write_batch
 
 BatchFunction = Callable[[DataFrame, int], None]
+RAW_STAMPS = ("processed_at", "kafka_timestamp")
 READING_ORDER = ("event_time", "building_id", "room_id", "value", "kafka_time")
 
 
@@ -68,14 +69,7 @@ def raw_sink(
             scored = score_readings(
                 together, by, arrival, threshold, method, strategy=strategy, chunk_rows=chunk_rows
             ).where(~F.col("_carried"))
-            stamp = now(as_of)
-            write_batch(
-                scored.drop("_carried", "_age", "_turn").withColumns(
-                    {"processed_at": stamp, "kafka_timestamp": stamp}
-                ),
-                path,
-                batch_id,
-            )
+            store_sink(path, RAW_STAMPS, as_of)(scored.drop("_carried", "_age", "_turn"), batch_id)
             backwards = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in arrival])
             kept = (
                 together.where(is_scored(fixed.SCORED_SENSORS))
@@ -87,17 +81,21 @@ def raw_sink(
     return write
 
 
-def alert_sink(path: str, as_of: object = None) -> BatchFunction:
-    """Store alert rows with their processing time; the batch number is the folder they are in."""
+def store_sink(path: str, stamps: Sequence[str] = ("processed_at",), as_of: object = None) -> BatchFunction:
+    """Store rows with their processing time; the batch number is the folder they are in."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        write_batch(batch.withColumn("processed_at", now(as_of)), path, batch_id)
+        write_batch(batch.withColumns({name: now(as_of) for name in stamps}), path, batch_id)
 
     return write
 
 
+def alert_sink(path: str, as_of: object = None) -> BatchFunction:
+    return store_sink(path, as_of=as_of)
+
+
 def aggregate_sink(
     path: str, keys: Sequence[str] = ("building_id", "sensor_type"), as_of: object = None
 ) -> BatchFunction:

@@ -39,6 +39,11 @@ def test_quantiles_reject_unknown_strategy(readings):
         exact_quantiles(readings([("co2", 1.0)]), ["sensor_type"], [0.5], strategy="quick")
 
 
+def test_groups_are_needed_where_joined(readings):
+    with pytest.raises(ValueError):
+        histogram(readings([("co2", 1.0)]), by=())
+
+
 @pytest.mark.parametrize("strategy", ["builtin", "bracketed"])
 def test_outliers_include_missing_values(readings, strategy):
     rows = [("co2", float(i)) for i in range(101)] + [("co2", None), ("co2", math.nan), ("gone", None)]

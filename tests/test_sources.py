@@ -79,7 +79,11 @@ def test_preprocess_writes_everything(spark, tree, tmp_path, total_order):
     assert processed.where("value IS NULL AND is_outlier").count() == 2
     full = spark.read.option("header", True).csv(f"{folder}/all")
     assert full.count() == 9
-    assert {"hour", "is_weekend", "is_outlier", "co2_rolling_mean"} <= set(full.columns)
+    assert full.columns == (
+        "timestamp_unix value room_id sensor_type building_id timestamp is_outlier hour day_of_week is_weekend month "
+        "day temperature_rolling_mean co2_rolling_mean humidity_rolling_mean light_rolling_mean"
+    ).split()
+    assert full.agg(F.min("timestamp")).first()[0] == "2013-08-23 23:05:08"
     by_sensor = spark.read.option("header", True).csv(f"{folder}/by_sensor")
     assert by_sensor.where("sensor = 'pir'").count() == 1
     summary = spark.read.option("header", True).csv(f"{folder}/summary").first()

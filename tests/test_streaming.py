@@ -15,7 +15,7 @@ from telemetra.plans.jobs import live as live_job
 from telemetra.sources import messages, store
 from telemetra.sources.staging import shared_folder
 from telemetra.streaming import queries as live
-from telemetra.streaming.history import HistoryScorer, detect_anomalies_stream
+from telemetra.streaming.history import HistoryScorer
 from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink, totals_sink
 
 NOW = {"availableNow": True}
@@ -214,13 +214,12 @@ def test_stateful_stream_equals_batch(spark, feed, tmp_path, by):
     path, progress = str(tmp_path / "scores"), str(tmp_path / "progress")
     for n in (140, 760):
         feed.add(n)
-        scored = detect_anomalies_stream(feed.stream(), by)
-        writer = scored.writeStream.option("checkpointLocation", progress).format("parquet").trigger(**NOW)
-        finish(writer.start(path))
+        finish(live.start_stateful_raw_stream(feed.stream(), path, progress, NOW, START, by=by))
     wanted = score_readings(feed.batch(), by, READING_ORDER)
-    stored = spark.read.parquet(path)
+    stored = store.read_store(spark, path)
     assert stored.where("ml_anomaly").count() > 0
     assert rows(stored, *SCORED) == rows(wanted, *SCORED)
+    assert stored.where(F.col("kafka_timestamp") == F.lit(START)).count() == feed.sent
 
 
 @pytest.mark.parametrize("tail", [[99.0], [float("inf"), 1.0, 99.0], [0.1, 0.1, 0.3]])
