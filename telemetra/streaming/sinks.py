@@ -33,6 +33,21 @@ def held(batch: DataFrame) -> Iterator[None]:
         batch.unpersist()
 
 
+def unless_empty(write: BatchFunction) -> BatchFunction:
+    """Skip empty batches; looking and writing share one evaluation, of state above all."""
+
+    def write_held(batch: DataFrame, batch_id: int) -> None:
+        with held(batch):
+            if not batch.isEmpty():
+                write(batch, batch_id)
+
+    return write_held
+
+
+def stamped(df: DataFrame, names: Sequence[str], as_of: object) -> DataFrame:
+    return df.withColumns({name: now(as_of) for name in names})
+
+
 def raw_sink(
     path: str,
     history_path: str,
@@ -52,10 +67,8 @@ def raw_sink(
     carried = list(dict.fromkeys([*by, "sensor_type", "value", *order]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        with held(batch), passing_tables(spark):
+        with passing_tables(spark):
             history = KeyedTable(spark, history_path)
             earlier = history.read(before=batch_id)
             # _age: 50 to 1 for the rows carried over, 0 for those of the batch
@@ -69,7 +82,7 @@ def raw_sink(
             scored = score_readings(
                 together, by, arrival, threshold, method, strategy=strategy, chunk_rows=chunk_rows
             ).where(~F.col("_carried"))
-            store_sink(path, RAW_STAMPS, as_of)(scored.drop("_carried", "_age", "_turn"), batch_id)
+            write_batch(stamped(scored.drop("_carried", "_age", "_turn"), RAW_STAMPS, as_of), path, batch_id)
             backwards = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in arrival])
             kept = (
                 together.where(is_scored(fixed.SCORED_SENSORS))
@@ -78,18 +91,16 @@ def raw_sink(
             )
             history.write(kept.select(*carried, "_age"), batch_id)
 
-    return write
+    return unless_empty(write)
 
 
 def store_sink(path: str, stamps: Sequence[str] = ("processed_at",), as_of: object = None) -> BatchFunction:
     """Store rows with their processing time; the batch number is the folder they are in."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        write_batch(batch.withColumns({name: now(as_of) for name in stamps}), path, batch_id)
+        write_batch(stamped(batch, stamps, as_of), path, batch_id)
 
-    return write
+    return unless_empty(write)
 
 
 def alert_sink(path: str, as_of: object = None) -> BatchFunction:
@@ -102,13 +113,11 @@ def aggregate_sink(
     """Replace the rows of the keys that the batch brings."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         table = KeyedTable(batch.sparkSession, path)
         stamped = batch.withColumns({"spark_batch_id": F.lit(batch_id).cast("long"), "last_update": now(as_of)})
         table.write(upsert_latest(table.read(before=batch_id), stamped, keys), batch_id)
 
-    return write
+    return unless_empty(write)
 
 
 def totals_sink(
@@ -122,8 +131,6 @@ def totals_sink(
     total_type = "decimal(38,4)" if exact else "double"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         table = KeyedTable(batch.sparkSession, path)
         sums = batch.groupBy(*keys).agg(
             F.sum(value).cast(total_type).alias("value_sum"),
@@ -146,18 +153,15 @@ def totals_sink(
         average = F.col("value_sum").cast("double") / F.nullif(F.col("value_count"), F.lit(0))
         table.write(merged.withColumn("avg_value", average), batch_id)
 
-    return write
+    return unless_empty(write)
 
 
 def combined_sink(raw: BatchFunction, alerts: BatchFunction, totals: BatchFunction) -> BatchFunction:
     """All three stores from one reading and parsing of the batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        with held(batch):
-            raw(batch, batch_id)
-            alerts(filter_alerts(batch), batch_id)
-            totals(batch, batch_id)
+        raw(batch, batch_id)
+        alerts(filter_alerts(batch), batch_id)
+        totals(batch, batch_id)
 
-    return write
+    return unless_empty(write)
