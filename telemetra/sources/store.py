@@ -13,10 +13,12 @@ from telemetra.sources.staging import file_system, hadoop_path
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
     """Store one micro-batch in a folder of its own, so that writing it again replaces it.
 
-    Inside, the files are laid out by sensor type and day, which readers prune by.
+    Inside, the files are laid out by sensor type and day, which readers prune by. Rebalancing
+    gathers small directories into single files and divides large ones among tasks.
     """
     (
         df.withColumn("event_date", F.to_date(time))
+        .hint("rebalance", "sensor_type", "event_date")
         .write.mode("overwrite")
         .partitionBy("sensor_type", "event_date")
         .parquet(f"{path.rstrip('/')}/spark_batch_id={batch_id}")

@@ -178,6 +178,14 @@ def test_batch_is_replaced_when_written_again(spark, readings, tmp_path):
     assert store.read_store(spark, path, "light", datetime(2024, 1, 1), datetime(2024, 1, 2)).count() == 1
 
 
+def test_one_file_per_small_directory(spark, readings, tmp_path):
+    df = readings([(sensor, float(i)) for i in range(50) for sensor in ("co2", "light")]).repartition(8)
+    store.write_batch(df, str(tmp_path / "store"), 0)
+    for sensor in ("co2", "light"):
+        files = list((tmp_path / "store").glob(f"spark_batch_id=0/sensor_type={sensor}/*/*.parquet"))
+        assert len(files) == 1
+
+
 def test_store_prunes(spark, readings, tmp_path):
     path = str(tmp_path / "store")
     store.write_batch(readings([("co2", 1.0), ("light", 2.0)]), path, 0)
