@@ -11,7 +11,8 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import START, column
 from telemetra.operators.reports import running_totals
-from telemetra.plans.jobs import historical_messages, preprocess
+from telemetra.operators.scoring import score_readings
+from telemetra.plans.jobs import historical_messages, operations_summary, preprocess, process
 from telemetra.sources import messages, staging, store
 from telemetra.sources.csv_tree import read_sensor_csv
 from telemetra.sources.staging import shared_folder, stage, stage_in_order
@@ -94,6 +95,21 @@ def test_preprocess_writes_everything(spark, tree, tmp_path, total_order):
     ]
 
 
+def test_files_to_scores_and_summary(spark, tmp_path):
+    lines = [f"{BASE_TIME + i},{20 + i % 3}" for i in range(30)] + [f"{BASE_TIME + 29},90"]
+    (tmp_path / "413").mkdir()
+    (tmp_path / "413" / "co2.csv").write_text("\n".join(["time,value", *lines]) + "\n")
+    loaded = read_sensor_csv(spark, str(tmp_path))
+    for options in ({}, {"strategy": "chunked", "chunk_rows": 50}):
+        by = ("room_id", "sensor_type")
+        scored = score_readings(loaded, by, ("event_time", "source_row"), **options)
+        assert [r["value"] for r in scored.where("ml_anomaly").collect()] == [90.0]
+    table = process(loaded)
+    summary = operations_summary(table, "co2", 60, as_of="2013-08-23 23:30:00")
+    assert summary["totals"].first()["reading_count"] == 30
+    assert summary["kpis"].first()["max_value"] == 22.0
+
+
 def parsed(spark, *texts):
     lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, value STRING")
     stamped = lines.select(F.col("value").cast("binary").alias("value"), F.timestamp_seconds("id").alias("timestamp"))
