@@ -19,6 +19,7 @@ from telemetra.sources.adapters import (
 )
 from telemetra.sources.staging import new_folder
 from telemetra.streaming import queries as live
+from telemetra.streaming.sinks import alert_sink, raw_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -664,6 +665,42 @@ def s10(spark, sf_dir):
     return found.select(*readings.columns)
 
 
+def halves(readings: DataFrame) -> list[DataFrame]:
+    """All readings as two batches, one after the other in time."""
+    begin, end = readings.agg(F.min("event_time"), F.max("event_time")).first()
+    middle = F.lit(begin + (end - begin) / 2).cast("timestamp_ntz")
+    return [readings.where(F.col("event_time") < middle), readings.where(F.col("event_time") >= middle)]
+
+
+@query(
+    "S4_raw_sink",
+    scored_sql(
+        "event_id, event_time, sensor_type, value, ml_anomaly, "
+        "CAST(CASE WHEN ml_anomaly THEN 0.95 END AS DOUBLE) AS ml_confidence, simple AS ml_prediction"
+    ),
+)
+def s4(spark, sf_dir):
+    path = new_folder(spark, "raw")
+    sink = raw_sink(path, new_folder(spark, "history"), order=IN_TIME)
+    for number, batch in enumerate(halves(events_as_readings(spark, sf_dir))):
+        sink(batch, number)
+    return store.read_store(spark, path).select(
+        "event_id", "event_time", "sensor_type", "value", "ml_anomaly", "ml_confidence", "ml_prediction"
+    )
+
+
+@query(
+    "S5_alert_sink",
+    "\nSELECT event_id, event_time, sensor_type, value FROM readings WHERE sensor_type = 'temperature' AND value > 25",
+)
+def s5(spark, sf_dir):
+    path = new_folder(spark, "alerts")
+    sink = alert_sink(path)
+    for number, batch in enumerate(halves(events_as_readings(spark, sf_dir))):
+        sink(alerts.filter_alerts(batch), number)
+    return store.read_store(spark, path).select("event_id", "event_time", "sensor_type", "value")
+
+
 UPSERT_SQL = f""", first AS (SELECT * FROM readings WHERE event_id % 2 = 0),
 second AS (SELECT * FROM readings WHERE event_id % 2 = 1 AND building_id <> 'B2'),
 versions AS (
@@ -697,12 +734,9 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def replayed(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], list]) -> None:
     """Send all readings through JSON files in two halves of time, running the queries after each."""
-    readings = events_as_readings(spark, sf_dir)
     folder = new_folder(spark, "messages")
-    begin, end = readings.agg(F.min("event_time"), F.max("event_time")).first()
-    middle = F.lit(begin + (end - begin) / 2).cast("timestamp_ntz")
-    for half in (F.col("event_time") < middle, F.col("event_time") >= middle):
-        messages.to_messages(readings.where(half), sent_at=SENT_AT).write.mode("append").text(folder)
+    for half in halves(events_as_readings(spark, sf_dir)):
+        messages.to_messages(half, sent_at=SENT_AT).write.mode("append").text(folder)
         for running in run(messages.read_readings_stream(spark, folder=folder)):
             running.awaitTermination()
 
