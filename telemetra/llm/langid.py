@@ -106,15 +106,18 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, alpha: float = 0.6, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3, epochs: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (features x classes) and bias. A row: features, values, class. Feature ``BUCKETS`` is the bias."""
+def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, alpha: float = 0.6, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3, updates: int = 12_000) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features x classes) and bias. A row: features, values, class. Feature ``BUCKETS`` is the bias.
+
+    The rows are passed over, each time in another order, until there have been ``updates`` of them.
+    """
     z, n = np.zeros((BUCKETS + 1, classes)), np.zeros((BUCKETS + 1, classes))
 
     def weight(at):
         zs = z[at]
         return np.where(np.abs(zs) <= l1, 0.0, -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    for epoch in range(epochs):
+    for epoch in range(-(-updates // max(len(rows), 1)) if rows else 0):
         for i in np.random.default_rng(epoch).permutation(len(rows)):
             at, value, label = rows[i]
             at, value = np.append(at, BUCKETS), np.append(value, 1.0)
