@@ -30,6 +30,7 @@ BUCKETS = 1 << BUCKET_BITS
 LONGEST = 3
 TRAIN_ROWS = 800
 MOST_LANGUAGES = 200
+SLICES = 64
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _MIX = np.uint32(0x9E3779B1)
@@ -148,9 +149,12 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     idf = np.log((1 + n) / (1 + frequency)) + 1
     if not n:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    # Rows of a language in the order of a hash; Spark limits them in each task before the shuffle.
-    narrow = usable.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(3)).alias("h"), F.xxhash64("text").alias("t"))
-    first = narrow.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "t"))).filter(F.col("r") <= rows)
+    # Rows of a language in the order of a hash, first within slices of it, so that no task has a whole language.
+    order = [F.xxhash64("doc_id", F.lit(3)).alias("h"), F.xxhash64("text").alias("t")]
+    first = usable.select("doc_id", "lang", *order)
+    for by in (["lang", F.pmod("h", F.lit(SLICES))], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id", "t"))
+        first = first.withColumn("r", place).filter(F.col("r") <= rows).drop("r")
     first = first.groupBy("lang", "doc_id", "t").agg(F.min("h").alias("h"))
     languages = [r["lang"] for r in first.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES).collect()]
     chosen = first.filter(F.col("lang").isin(languages)).select("doc_id", "lang", "t")  # at most rows x MOST_LANGUAGES
