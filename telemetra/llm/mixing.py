@@ -136,11 +136,11 @@ def mix(
         (F.round("goal").cast("long") - F.sum("fixed").over(of_source)).alias("open"),
         F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("start"),
     )
-    joined = placed.join(starts, F.col("source").eqNullSafe(F.col("s")) & F.col("bucket").eqNullSafe(F.col("b")), "left")
+    joined = placed.filter("key IS NOT NULL").join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sampled = joined.filter("key IS NOT NULL").withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
+    sampled = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
     more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("open") - F.col("before")))
     out = ["doc_id", "size", "source_size", "target", "rate"]
     taken = sampled.select(*out, (F.col("whole") * F.col("size") + more).alias("taken"))
-    rest = joined.filter("key IS NULL").select(*out, (F.col("whole") * F.col("size")).alias("taken"))
+    rest = placed.filter("key IS NULL").select(*out, (F.col("whole") * F.col("size")).alias("taken"))
     return taken.unionByName(rest)
