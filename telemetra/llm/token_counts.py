@@ -15,12 +15,14 @@ count. Empty tables give empty results.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -29,10 +31,10 @@ from telemetra.sources.staging import stage
 
 HEAD = 1 << 17
 HEAD_BYTES = 64
-#: Words whose pre-tokens a worker remembers, and the longest of them.
-CACHED, CACHED_LENGTH = 200_000, 48
-#: Distinct pre-tokens a task adds up before it hands them on.
-HELD = 400_000
+#: Words whose pre-tokens a task remembers; distinct words it adds up before it hands them on.
+REMEMBERED, HELD = 250_000, 400_000
+#: The first combining mark.
+PLAIN_BELOW = "\u0300"
 
 
 class Cutter:
@@ -45,39 +47,63 @@ class Cutter:
             raise ValueError("added tokens that strip, match whole words or match normalised text aren't supported")
         found = sorted((t.content for t in special), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, found))) if found else None
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.pattern = plain_pattern(json.loads(self.tokenizer.to_str()))
 
     def pre_tokens(self, text: str) -> tuple[str, ...]:
+        """In normalised text, not in the alphabet of bytes."""
+        plain = self.normal(text)
+        return tuple(plain[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain))
+
+    def normal(self, text: str) -> str:
         normaliser = self.tokenizer.normalizer
-        plain = normaliser.normalize_str(text) if normaliser else text
-        return tuple(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain))
-
-    def of_word(self, word: str) -> tuple[str, ...]:
-        found = self.known.get(word)
-        if found is None:
-            found = self.pre_tokens(word)
-            if len(word) <= CACHED_LENGTH:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[word] = found
-        return found
+        return normaliser.normalize_str(text) if normaliser else text
 
-    def count(self, text: str | None) -> tuple[int, Counter]:
-        """Special strings, and frequencies of pre-tokens."""
+    def pieces(self, pre_token: str) -> int:
+        tokenize = self.tokenizer.model.tokenize
+        return sum(len(tokenize(p)) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(pre_token))
+
+    def words(self, text: str | None) -> tuple[int, list[str], tuple[str, ...]]:
+        """Special strings in a text; its words; or, for a text whose white space Python sees otherwise, its pre-tokens."""
         if not text:
-            return 0, Counter()
+            return 0, [], ()
         specials = 0
-        if self.special is not None and "<" in text:
+        if self.special is not None:
             parts = self.special.split(text)
-            specials, text = len(parts) - 1, "\n".join(parts)  # white space parts pre-tokens as the special did
-        counts: Counter = Counter()
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space for Python, not for the tokenizer
-            counts.update(self.pre_tokens(text))
-            return specials, counts
-        for word, n in Counter(text.split()).items():
-            for p in self.of_word(word):
-                counts[p] += n
-        return specials, counts
+            if len(parts) > 1:
+                specials, text = len(parts) - 1, "\n".join(parts)  # white space parts pre-tokens as the special did
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return specials, [], self.pre_tokens(text)
+        return specials, text.split(), ()
+
+    def cut(self, words: list[str]) -> list[tuple[str, ...]]:
+        """The pre-tokens of each word; white space keeps words apart."""
+        if self.pattern is None:
+            return [self.pre_tokens(w) for w in words]
+        found = []
+        for word in words:
+            if word.isascii() or max(word) < PLAIN_BELOW:
+                lower = word.lower()
+                found.append((lower,) if lower.isalpha() else tuple(self.pattern.findall(lower)))
+            else:
+                found.append(self.pre_tokens(word))
+        return found
+
+
+def plain_pattern(settings: dict) -> regex.Pattern | None:
+    """The pattern of pre-tokens, if they are its matches in the composed, lower-cased text; else None.
+
+    Below ``PLAIN_BELOW`` all text is composed and no letter's lower case hangs on its neighbours, so that the standard
+    library does what the tokenizer does, only faster; other words go through the tokenizer.
+    """
+    steps = (settings["normalizer"] or {}).get("normalizers", [])
+    parts = (settings["pre_tokenizer"] or {}).get("pretokenizers", [])
+    spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if steps != [{"type": "NFC"}, spaces, {"type": "Lowercase"}] or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+        return None
+    split, to_bytes = parts
+    if split["behavior"] != "Removed" or not split["invert"] or "Regex" not in split["pattern"] or to_bytes["use_regex"] or to_bytes["add_prefix_space"]:
+        return None
+    return regex.compile(split["pattern"]["Regex"])
 
 
 _cutters: dict[str, Cutter] = {}
@@ -101,20 +127,29 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pre_token", "n"])
 
     def frequencies(batches):
-        cut, total = cutter(path), Counter()
+        cut, words, total = cutter(path), Counter(), Counter()
+
+        def hand_on():
+            for tokens, n in zip(cut.cut(list(words)), words.values()):
+                for p in tokens:
+                    total[p] += n
+            result = out(total)
+            words.clear(), total.clear()
+            return result
+
         for piece in _texts(batches):
             for text in piece.column("text").to_pylist():
-                for p, n in cut.count(text)[1].items():
-                    total[p] += n
-                if len(total) >= HELD:
-                    yield out(total)
-                    total = Counter()
-        yield out(total)
+                _, some, others = cut.words(text)
+                words.update(some)
+                total.update(others)
+            if len(words) >= HELD:
+                yield hand_on()
+        yield hand_on()
 
     def split(batches):
-        model = cutter(path).tokenizer.model
+        cut = cutter(path)
         for batch in batches:
-            sizes = [len(model.tokenize(p)) for p in batch.column("pre_token").to_pylist()]
+            sizes = [cut.pieces(p) for p in batch.column("pre_token").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("pre_token"), batch.column("n"), pa.array(sizes, pa.int64())], names=["pre_token", "n", "pieces"])
 
     distinct = docs.select(F.col("text").cast("string")).mapInArrow(frequencies, "pre_token STRING, n LONG").groupBy("pre_token").agg(F.sum("n").alias("n"))
@@ -132,20 +167,36 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str =
 
     def frequencies(batches):
         """A row for each document, with the tokens known here, and one for each other pre-token of it."""
-        cut, known = cutter(path), shared.value
+        cut, head = cutter(path), shared.value
+        known: dict[str, tuple[int, tuple[str, ...]]] = {}  # word: tokens of its common pre-tokens, its other pre-tokens
+
+        def learn(words: list[str]) -> None:
+            for word, tokens in zip(words, cut.cut(words)):
+                known[word] = sum(head.get(p, 0) for p in tokens), tuple(p for p in tokens if p not in head)
+
         for piece in _texts(batches):
+            texts = [cut.words(text) for text in piece.column("text").to_pylist()]
+            counted = [Counter(words) for _, words, _ in texts]
+            if len(known) > REMEMBERED:
+                known.clear()
+            learn(list({w for counts in counted for w in counts if w not in known}))
             rows, tokens, rest, times = [], [], [], []
-            for i, text in enumerate(piece.column("text").to_pylist()):
-                specials, counts = cut.count(text)
-                here, first = specials, len(rows)
-                rows.append(i), rest.append(None), times.append(None)
-                for p, n in counts.items():
-                    size = known.get(p)
-                    if size is None:
-                        rows.append(i), rest.append(p), times.append(n)
+            for i, ((specials, _, others), counts) in enumerate(zip(texts, counted)):
+                here, unknown = specials, Counter()
+                for word, n in counts.items():
+                    size, other = known[word]
+                    here += size * n
+                    for p in other:
+                        unknown[p] += n
+                for p in others:
+                    if p in head:
+                        here += head[p]
                     else:
-                        here += size * n
-                tokens.extend([here] + [None] * (len(rows) - first - 1))
+                        unknown[p] += 1
+                rows += [i] * (len(unknown) + 1)
+                tokens += [here] + [None] * len(unknown)
+                rest += [None, *unknown]
+                times += [None, *unknown.values()]
             at = pa.array(np.array(rows, np.int64))
             kept = [piece.column(c).take(at) for c in ("doc_id", "row_hash", "n_bytes")]
             yield pa.RecordBatch.from_arrays(
