@@ -156,12 +156,22 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
     return distinct.mapInArrow(split, "pre_token STRING, n LONG, pieces LONG")
 
 
+def most_frequent(counted: DataFrame) -> DataFrame:
+    """At most ``HEAD`` pre-tokens: all whose class of ``n`` (eighths of powers of two) is among the highest that fit."""
+    level = F.floor(F.log2("n") * 8)
+    room, least = HEAD, None
+    for row in counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # a few hundred classes
+        if row["count"] > room:
+            break
+        room, least = room - row["count"], row["level"]
+    return counted.filter(F.lit(False) if least is None else level >= least).select("pre_token", "pieces")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit``, one row per document."""
     spark = docs.sparkSession
     pieces_of = stage(vocabulary(docs, path))
-    common = pieces_of.filter(F.octet_length("pre_token") <= HEAD_BYTES)
-    head = common.orderBy(F.desc("n"), "pre_token").limit(HEAD).select("pre_token", "pieces").toPandas()
+    head = most_frequent(pieces_of.filter(F.octet_length("pre_token") <= HEAD_BYTES)).toPandas()
     shared = spark.sparkContext.broadcast(dict(zip(head["pre_token"].tolist(), head["pieces"].tolist())))
     kind = docs.schema[id_column].dataType.simpleString()
 

@@ -1,0 +1,204 @@
+"""Operators against SQL, brute force, the library, or held-out labels."""
+
+import glob
+import hashlib
+import itertools
+import os
+import random
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+import __spark_entry__ as entry
+from telemetra.llm import decontaminate, mixing, order_minhash, queries, simhash
+from telemetra.llm.common import table, tokenizer_path
+from telemetra.llm.components import connected
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def normal(rows):
+    return sorted(tuple(repr(v) for v in row) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql(spark, name):
+    duck = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        duck.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+    found, expected = queries.QUERIES[name](spark, SF_DIR), duck.sql(queries.SQL[name])
+    columns = sorted(found.columns)
+    assert sorted(expected.columns) == columns
+    rows = found.select(*columns).collect()
+    assert normal(rows) == normal(expected.select(*[f'"{c}"' for c in columns]).fetchall())
+
+
+def test_all_are_registered():
+    assert {*queries.QUERIES, "pipeline"} <= entry.queries().keys()
+    assert len(queries.QUERIES) == 10
+
+
+def plain_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    words = [w for w in "".join(" " if c in " \t\n\v\f\r" else c for c in lower).split(" ") if w]
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(len(words) - 3, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_against_all_pairs(spark):
+    docs = table(spark, SF_DIR, "documents")
+    rows = queries.QUERIES["op2_simhash_near_duplicates"](spark, SF_DIR).collect()
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert all(r["fingerprint"] == f"{plain_fingerprint(texts[r['doc_id']]):016x}" for r in rows[:150])
+    assert {r["doc_id"]: r["component_id"] for r in rows} == by_brute_force([(r["doc_id"], int(r["fingerprint"], 16)) for r in rows], 4)
+
+
+def by_brute_force(prints, within):
+    group = {i: i for i, _ in prints}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    values = np.array([p for _, p in prints], np.uint64)
+    for k, (i, p) in enumerate(prints):
+        for other in np.flatnonzero(np.bitwise_count(values[k + 1 :] ^ np.uint64(p)) <= within):
+            a, b = sorted((root(i), root(prints[k + 1 + other][0])))
+            group[b] = a
+    return {i: root(i) for i, _ in prints}
+
+
+@pytest.mark.parametrize("dense", [2, 64])
+def test_links_of_dense_buckets(spark, monkeypatch, dense):
+    monkeypatch.setattr(simhash, "DENSE_BUCKET", dense)
+    rng = random.Random(3)
+    values = set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        for _ in range(25):
+            values.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))))
+    prints = [(simhash.signed(v), v) for v in sorted(values)]
+    found = simhash.links(spark.createDataFrame([(s,) for s, _ in prints], "simhash LONG"), 4, 3)
+    groups = {r["node"]: r["group"] for r in connected(found).collect()}
+    expected = by_brute_force(prints, 4)
+    mine = {s: groups.get(s, s) for s, _ in prints}
+    assert len({(mine[s], expected[s]) for s in mine}) == len(set(mine.values())) == len(set(expected.values()))
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500), (7, 3)]
+    found = {r["node"]: r["group"] for r in connected(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
+    assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_thresholds_of_least_cost():
+    cost = [[0, 5, 9, 30], [0, 1, 2, 3], [0, 5, 9, 30]]
+    chosen = simhash.allocate(cost, 2)
+    all_of = [t for t in itertools.product(range(-1, 3), repeat=3) if sum(t) == 2]
+    price = lambda ts: sum(c[t + 1] for c, t in zip(cost, ts))
+    assert sum(chosen) == 2 and price(chosen) == min(map(price, all_of))
+
+
+def test_token_counts_are_the_librarys(spark):
+    rows = queries.QUERIES["op4_token_counts"](spark, SF_DIR).collect()
+    texts = dict(table(spark, SF_DIR, "documents").select("doc_id", "text").collect())
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    for r in rows:
+        n = len(tokenizer.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 2048)
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b <|startoftext|>", "don't we'll I'D x\x1cy", "İstanbul ΣΑΣ ﬁ é́ ½  z​a\xa0c", "<|endoftext|>" * 3, "a" * 3000, "x\u0085y 中文字 😀"])
+def test_tokens_of_odd_texts(spark, text):
+    from telemetra.llm.token_counts import count_tokens
+
+    path = tokenizer_path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id LONG, text STRING")
+    n = len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+    assert [r["n_tokens"] for r in count_tokens(docs, path).collect()] == [n, n]
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r for r in table(spark, sf, "labels").collect()}
+    langs = dict(table(spark, sf, "documents").select("doc_id", "lang").collect())
+
+    def share(name, right):
+        rows = [r for r in queries.QUERIES[name](spark, sf).filter("held_out").collect() if name == "op7_language" or r["doc_id"] in labels]
+        return sum(map(right, rows)) / len(rows)
+
+    assert share("op3_quality", lambda r: r["predicted"] == labels[r["doc_id"]]["quality"]) > 0.98
+    assert share("op5_toxicity", lambda r: r["predicted"] == labels[r["doc_id"]]["toxic"]) > 0.95
+    assert share("op7_language", lambda r: r["lang_pred"] == langs[r["doc_id"]]) > 0.98
+
+
+def test_edited_texts_and_order(spark):
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op10_order_minhash"](spark, SF_DIR).collect()}
+    texts = dict(table(spark, SF_DIR, "documents").select("doc_id", "text").collect())
+    ids, prints = sorted(texts), {}
+    for at, i in enumerate(ids):
+        half, following = len(texts[i]) // 2, texts[ids[(at + 1) % len(ids)]]
+        edited = texts[i][: len(texts[i]) - half] + following[:half]
+        assert rows[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and rows[i]["n_chars"] == len(texts[i])
+        assert prints.setdefault(texts[i], rows[i]["fingerprint"]) == rows[i]["fingerprint"]
+        other = rows[ids[(at + 1) % len(ids)]]["fingerprint"]
+        assert rows[i]["near_next"] == sum(a == b for a, b in zip(rows[i]["fingerprint"], other)) / len(other)
+    assert np.mean([r["near_edited"] for r in rows.values()]) > np.mean([r["near_next"] for r in rows.values()]) + 0.05
+
+
+def test_order_minhash_against_plain_python(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 40, 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
+    for r in docs.select("text", order_minhash.fingerprint(docs["text"]).alias("f")).collect():
+        words = r["text"].split()
+        if not words:
+            assert r["f"] == [0] * order_minhash.POINTS
+            continue
+        # The same elements as the operator's, ordered from each point by plain sorting.
+        grams = [words[j : j + 3] for j in range(len(words) - 2)] if len(words) >= 3 else [[" ".join(words)]]
+        hashes = {tuple(g): None for g in grams}
+        shown = spark.createDataFrame([(list(g),) for g in hashes], "g ARRAY<STRING>")
+        expression = f"xxhash64({', '.join(f'g[{k}]' for k in range(len(grams[0])))})"
+        hashes = {tuple(x["g"]): x["h"] for x in shown.selectExpr("g", f"{expression} AS h").collect()}
+        seen, elements = {}, []
+        for j, g in enumerate(grams):
+            n = seen[tuple(g)] = seen.get(tuple(g), -1) + 1
+            elements.append((hashes[tuple(g)], n, j))
+        again = spark.createDataFrame(elements, "h LONG, n INT, j INT").selectExpr("j", "IF(n = 0, h, xxhash64(h, n)) AS h").collect()
+        ring = [(x["h"] % 2**64, x["j"], x["h"]) for x in again]
+        tuples = []
+        for k in range(-order_minhash.POINTS // 2, order_minhash.POINTS // 2):
+            point = (k * 2**64 // order_minhash.POINTS) % 2**64
+            least = sorted(ring, key=lambda e: (e[0] - point) % 2**64)[: order_minhash.LENGTH]
+            tuples.append(([e[2] for e in sorted(least, key=lambda e: e[1])],))
+        expected = spark.createDataFrame(tuples, "t ARRAY<LONG>").selectExpr("xxhash64(t) AS h").collect()
+        assert r["f"] == [x["h"] for x in expected]
+
+
+def test_mixture_meets_targets(spark):
+    rows = [(i, "w " * (1 + i * 7 % 50), "abc"[i % 3] if i % 10 else None) for i in range(300)]
+    docs = spark.createDataFrame([(*r, 0.5 + r[0] % 4) for r in rows], "doc_id LONG, text STRING, source STRING, prior DOUBLE")
+    found = mixing.mix(docs, prior="prior").toPandas()
+    assert (found["taken"] <= 2 * found["size"]).all()
+    for _, group in found.groupby("target"):
+        assert abs(group["taken"].sum() - group["target"].iloc[0]) <= 50
+
+
+def test_blocks_of_a_large_benchmark(spark, monkeypatch):
+    docs, items = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "benchmark")
+    whole = decontaminate.find_leaks(docs, items, keep=["doc_id"]).collect()
+    size = sum(len(r["text"].encode()) for r in items.collect())
+    monkeypatch.setattr(decontaminate, "MOST_PATTERN_BYTES", size * 10 // 3 + 1)
+    assert normal(decontaminate.find_leaks(docs, items, keep=["doc_id"]).drop("spans").collect()) == normal([[v for k, v in r.asDict().items() if k != "spans"] for r in whole])
+
+
+def test_pipeline_keeps_what_its_stages_keep(spark):
+    mixed = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert 600 < len(mixed) < 850 and len({r["doc_id"] for r in mixed}) == len(mixed)
