@@ -134,18 +134,26 @@ def histogram(
     """Equal-width bins between each group's minimum and maximum, empty ones included.
 
     The last bin includes the maximum. A group of equal values gets the range of
-    half a unit around it.
+    half a unit around it. Infinite values are in no bin; ``infinite_count`` has their number in each row
+    of the group, and a group without other values gets bins around 0.
     """
     numbers = df.select(*by, F.col(column).cast("double").alias("_value")).where(is_valid("_value"))
+    finite = F.abs("_value") < float("inf")
+    in_range = F.when(finite, F.col("_value"))
     ranges = numbers.groupBy(*by).agg(
-        F.min("_value").alias("_low"), F.max("_value").alias("_high"), mean("_value", exact).alias("mean_value")
+        F.coalesce(F.min(in_range), F.lit(0.0)).alias("_low"),
+        F.coalesce(F.max(in_range), F.lit(0.0)).alias("_high"),
+        mean("_value", exact).alias("mean_value"),
+        F.count_if(~finite).alias("infinite_count"),
     )
+    numbers = numbers.where(finite)
     same = F.col("_low") == F.col("_high")
     ranges = ranges.select(
         *by,
         F.when(same, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
         F.when(same, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
         "mean_value",
+        "infinite_count",
     )
     ranges = stage(ranges)
     groups = ranges.count()
@@ -156,7 +164,7 @@ def histogram(
     below = (value < low + guess * width).cast("int")
     above = ((value >= low + (guess + 1) * width) & (guess < bins - 1)).cast("int")
     counts = (
-        join_groups(numbers, ranges.drop("mean_value"), by, groups, "inner")
+        join_groups(numbers, ranges.drop("mean_value", "infinite_count"), by, groups, "inner")
         .groupBy(*by, (guess + 1 - below + above).cast("int").alias("bin"))
         .agg(F.count("*").alias("value_count"))
     )
@@ -166,6 +174,7 @@ def histogram(
         (low + (F.col("bin") - 1) * width).alias("bin_start"),
         (low + F.col("bin") * width).alias("bin_end"),
         "mean_value",
+        "infinite_count",
     )
     return join_groups(all_bins, counts, [*by, "bin"], groups * bins).withColumn(
         "value_count", F.coalesce("value_count", F.lit(0))

@@ -37,21 +37,19 @@ def group_sizes(df: DataFrame, by: Sequence[str], size: Column | None = None) ->
 def split_hot_groups(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows of groups too large for one task, and all other rows; None where there are none.
 
-    A group is too large beyond ``TASK_ROWS`` and beyond an even share of the
-    shuffle partitions. There are fewer such groups than partitions, so their keys
-    can be broadcast.
+    A group is too large beyond ``TASK_ROWS``, whatever the total. The keys of such groups
+    are counted, and broadcast only if they are few.
     """
     counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
     rows, largest = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(TASK_ROWS, rows // partitions)
-    if largest <= limit:
+    if largest <= TASK_ROWS:
         return None, df
-    hot = stage(counts.where(F.col("_n") > limit))
-    if hot.agg(F.sum("_n")).first()[0] == rows:
+    hot = stage(counts.where(F.col("_n") > TASK_ROWS))
+    groups, inside = hot.agg(F.count("*"), F.sum("_n")).first()
+    if inside == rows:
         return df, None
     keys = hot.select(*by)
-    return join_groups(df, keys, by, partitions, "left_semi"), join_groups(df, keys, by, partitions, "left_anti")
+    return join_groups(df, keys, by, groups, "left_semi"), join_groups(df, keys, by, groups, "left_anti")
 
 
 def join_groups(df: DataFrame, per_group: DataFrame, by: Sequence[str], groups: int, how: str = "left") -> DataFrame:

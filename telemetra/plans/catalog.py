@@ -222,12 +222,13 @@ def a10_missing(spark, sf_dir):
 
 
 HISTOGRAM_SQL = f""", ranges AS (
-  SELECT sensor_type, min(value) AS low, max(value) AS high, {exact_mean()} AS mean_value
+  SELECT sensor_type, min(value) AS low, max(value) AS high, {exact_mean()} AS mean_value,
+    count(*) FILTER (WHERE isinf(value)) AS infinite_count
   FROM readings GROUP BY sensor_type),
 bins AS (
   SELECT *, low + (bin - 1) * ((high - low) / 30) AS bin_start, low + bin * ((high - low) / 30) AS bin_end
   FROM (SELECT *, CAST(unnest(range(1, 31)) AS INTEGER) AS bin FROM ranges) AS numbered)
-SELECT bins.sensor_type, bin, bin_start, bin_end, any_value(mean_value) AS mean_value, count(value) AS value_count
+SELECT bins.sensor_type, bin, bin_start, bin_end, any_value(mean_value) AS mean_value, any_value(infinite_count) AS infinite_count, count(value) AS value_count
 FROM bins LEFT JOIN readings ON readings.sensor_type = bins.sensor_type
      AND (value >= bin_start OR bin = 1) AND (value < bin_end OR bin = 30)
 GROUP BY bins.sensor_type, bin, bin_start, bin_end"""

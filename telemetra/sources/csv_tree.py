@@ -28,22 +28,19 @@ def read_sensor_csv(
     Columns are taken by position (Unix seconds, value) below a header line. Room
     and sensor come from the path: for another layout give ``files``, the glob below
     ``base``, and ``room_and_sensor``, a pattern with those two groups. ``check_width``
-    leaves out files with fewer than two columns, at the price of a first pass over the
-    tree. ``source_file`` and ``source_row`` give the order in which the rows were stored.
+    leaves out files whose header has fewer than two columns, at the price of reading the
+    lines once more; short lines of other files stay, without a value. ``source_file`` and ``source_row`` give the order in which the rows were stored.
     """
     if files is None:
         chosen = "*" if rooms is None else "{" + ",".join(rooms) + "}"
         files = f"{chosen}/{FILES}"
     lines = (
-        spark.read.schema("timestamp_unix LONG, value DOUBLE, _bad STRING")
+        spark.read.schema("timestamp_unix LONG, value DOUBLE")
         .option("header", True)
-        .option("columnNameOfCorruptRecord", "_bad")
-        .option("columnPruning", False)  # a short line shows only when all columns are parsed
         .csv(f"{base.rstrip('/')}/{files}")
         .select(
             "timestamp_unix",
             "value",
-            "_bad",
             F.col("_metadata.file_path").alias("source_file"),
             F.struct(
                 F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
@@ -53,15 +50,11 @@ def read_sensor_csv(
     if rooms is not None:
         lines = lines.where(F.regexp_extract("source_file", room_and_sensor, 1).isin(*rooms))
     if check_width:
-        # at most one row per file, and the driver holds the list of files anyway
-        two_columns = F.col("value").isNotNull() | F.col("_bad").isNull() | F.col("_bad").contains(",")
-        narrow = (
-            lines.groupBy("source_file")
-            .agg(F.max(two_columns).alias("wide"))
-            .where(~F.col("wide"))
-            .select("source_file")
-        )
-        lines = lines.join(F.broadcast(narrow), "source_file", "left_anti")
+        # the first line of each file decides; one row per file, joined by whatever way suits their number
+        top = spark.read.text(f"{base.rstrip('/')}/{files}").where("_metadata.file_block_start = 0")
+        top = top.select(F.col("_metadata.file_path").alias("source_file"), "value", F.monotonically_increasing_id().alias("line"))
+        headers = top.groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+        lines = lines.join(headers.where(~F.col("header").contains(",")), "source_file", "left_anti")
     sensor = F.regexp_extract("source_file", room_and_sensor, 2)
     if map_pir:
         sensor = F.coalesce(lookup(sensor, {"pir": fixed.PIR_NAME}), sensor)

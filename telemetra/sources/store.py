@@ -101,18 +101,21 @@ class KeyedTable:
 
 
 def save_processed(df: DataFrame, folder: str) -> None:
-    """The processed table as CSV twice: whole, and divided by sensor type in one pass."""
+    """The processed table as CSV twice: whole, and divided by sensor type; in order inside and between files."""
     inner = ("source_file", "source_row")
     columns = [
         iso_time("event_time", " ").alias("timestamp") if name == "event_time" else F.col(name)
         for name in df.columns
         if name not in inner
     ]
-    flat = df.select(*columns)
-    export_csv(flat, f"{folder}/all")
+    order = [name for name in ("room_id", "sensor_type", "event_time", *inner) if name in df.columns]
+    # sorted last, as reading a table again mixes its files
+    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    export_csv(in_order.select(*columns), f"{folder}/all")
     # the directory name takes the sensor, the files keep it too
-    by_sensor = flat.withColumn("sensor", F.col("sensor_type"))
-    by_sensor.write.mode("overwrite").option("header", True).partitionBy("sensor").csv(f"{folder}/by_sensor")
+    order = ["sensor", *order]
+    by_sensor = df.withColumn("sensor", F.col("sensor_type")).repartitionByRange(*order).sortWithinPartitions(*order)
+    by_sensor.select(*columns, "sensor").write.mode("overwrite").option("header", True).partitionBy("sensor").csv(f"{folder}/by_sensor")
 
 
 def export_csv(df: DataFrame, folder: str) -> None:

@@ -17,12 +17,14 @@ from telemetra.operators.scoring import SCORE_TYPES, is_scored
 # the processor travels to the executors with the query; they need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows scored at once.
+_BLOCK_ROWS = 10_000
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class HistoryScorer(StatefulProcessor):
-    """Scores the readings of one key against its last 50, a block of rows at a time."""
+    """Scores the readings of one key in a micro-batch, in order, each against the 50 before it."""
 
     def __init__(
         self,
@@ -47,8 +49,11 @@ class HistoryScorer(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         past = np.array([row[0] for row in self.history.get()], dtype=float)
-        for block in rows:
-            block = block.sort_values(self.order, kind="stable", ignore_index=True)
+        # all blocks of the key in this micro-batch, as their order spans blocks
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values(self.order, kind="stable", ignore_index=True)
+        for start in range(0, len(batch), _BLOCK_ROWS):
+            block = batch.iloc[start : start + _BLOCK_ROWS].reset_index(drop=True)
             values = block["value"].to_numpy(dtype=float)
             series = np.concatenate([past, values])
             scores = self._scores(series, len(past))
@@ -97,10 +102,9 @@ def detect_anomalies_stream(
 ) -> DataFrame:
     """Add ml_anomaly, ml_confidence and ml_prediction to a stream of readings.
 
-    Readings count in order of arrival; those that arrive in one block are put in
-    ``order`` first. Other sensor types and missing values pass by without scores. The
-    state is 50 values per key and one task serves a key, which suits many keys such as
-    rooms; for few or hot keys use the raw sink, which divides them.
+    A micro-batch of a key is put in ``order``, then scored after those before it. Other sensor types and missing values pass by without scores. The
+    state is 50 values per key, and one task holds a key's rows of a micro-batch, which suits
+    many keys such as rooms; for few or hot keys use the raw sink, which divides them.
     """
     readings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)  # list state needs this store
     output = T.StructType(

@@ -92,3 +92,12 @@ def test_missing_values(readings):
     assert counts["value"] == ("double", 3, 2)
     assert counts["sensor_type"] == ("string", 3, 1)
     assert counts["event_id"] == ("bigint", 3, 0)
+
+
+def test_histogram_counts_infinite_values(readings):
+    rows = [("co2", 1.0), ("co2", float("inf")), ("co2", 3.0), ("light", float("-inf"))]
+    bins = histogram(readings(rows), bins=2).orderBy("sensor_type", "bin").collect()
+    assert [(r["sensor_type"], r["value_count"], r["infinite_count"]) for r in bins] == [
+        ("co2", 1, 1), ("co2", 1, 1), ("light", 0, 1), ("light", 0, 1),
+    ]
+    assert [r["bin_start"] for r in bins] == [1.0, 2.0, -0.5, 0.0]

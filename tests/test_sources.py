@@ -1,5 +1,6 @@
 """Sensor files, messages and stored tables."""
 
+import csv
 import json
 import math
 import os
@@ -14,6 +15,7 @@ from telemetra.operators.reports import running_totals
 from telemetra.operators.scoring import score_readings
 from telemetra.plans.jobs import historical_messages, operations_summary, preprocess, process
 from telemetra.sources import messages, staging, store
+from telemetra.sources.adapters import events_as_readings
 from telemetra.sources.csv_tree import read_sensor_csv
 from telemetra.sources.staging import shared_folder, stage, stage_in_order
 
@@ -259,3 +261,31 @@ def test_shared_folder(spark, monkeypatch):
     monkeypatch.setattr(staging, "_CHECKPOINT_SETTING", "spark.no.such.setting")
     own = shared_folder(spark)
     assert os.path.isdir(own) and shared_folder(spark) == own
+
+
+def test_header_decides_the_width(spark, tmp_path):
+    (tmp_path / "1").mkdir()
+    (tmp_path / "1" / "co2.csv").write_text("ts,value\n1\n2\n")
+    (tmp_path / "1" / "light.csv").write_text("ts\n1,5\n")
+    found = read_sensor_csv(spark, str(tmp_path)).select("sensor_type", "timestamp_unix", "value").collect()
+    assert sorted(tuple(r) for r in found) == [("co2", 1, None), ("co2", 2, None)]
+
+
+@pytest.mark.parametrize("total_order", [False, True])
+def test_processed_files_are_in_order(spark, tmp_path, total_order):
+    table = events_as_readings(spark, "/root/testdata/sf0.001")
+    table = table.withColumn("timestamp_unix", F.unix_timestamp("event_time")).repartition(8)
+    processed = process(table, ("event_id",), ("event_id",), total_order=total_order)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.save_processed(processed, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    folders = [tmp_path / "all", *sorted((tmp_path / "by_sensor").glob("sensor=*"))]
+    for folder in folders:
+        files = sorted(folder.glob("part-*.csv"))
+        rows = [row for f in files for row in csv.DictReader(f.open())]
+        keys = [(r["room_id"], r["sensor_type"], r["timestamp"]) for r in rows]
+        assert keys and keys == sorted(keys)
+    assert len(sorted((tmp_path / "all").glob("part-*.csv"))) > 1

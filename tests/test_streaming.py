@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from datetime import timedelta
 
 import numpy as np
@@ -46,8 +47,10 @@ class Feed:
         self.spark, self.folder, self.sent, self.files = spark, folder, 0, 0
         folder.mkdir()
 
-    def add(self, n):
+    def add(self, n, shuffled=False):
         lines = [text_of(i) for i in range(self.sent, self.sent + n)]
+        if shuffled:
+            random.Random(n).shuffle(lines)
         (self.folder / f"part-{self.files}.txt").write_text("\n".join(lines) + "\n")
         self.sent, self.files = self.sent + n, self.files + 1
 
@@ -236,3 +239,19 @@ def test_block_scores_equal_the_loop(tail):
         raised = len(past) >= 10 and len(set(past)) > 1 and np.isfinite(past).all()
         raised = raised and abs(value - np.mean(past)) / np.std(past) > 2.5
         assert found[i] is (True if raised else None)
+
+
+def test_stateful_stream_in_small_blocks(spark, feed, tmp_path):
+    """Files in no order of time, with far more rows of a key in a micro-batch than in an Arrow block."""
+    block = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(block)
+    spark.conf.set(block, 20)
+    try:
+        path, progress = str(tmp_path / "scores"), str(tmp_path / "progress")
+        feed.add(2000, shuffled=True)
+        finish(live.start_stateful_raw_stream(feed.stream(), path, progress, NOW, START, by=("sensor_type",)))
+    finally:
+        spark.conf.set(block, before)
+    wanted = score_readings(feed.batch(), ("sensor_type",), READING_ORDER)
+    stored = store.read_store(spark, path)
+    assert rows(stored, *SCORED) == rows(wanted, *SCORED)
