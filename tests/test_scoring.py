@@ -13,8 +13,8 @@ from telemetra.operators.features import with_rolling_means
 from telemetra.operators.replay import replay_schedule
 from telemetra.operators.scoring import detect_anomalies, predict_next, score_readings
 
-WARM_UP = [22.0, 22.1, 22.3, 22.5, 22.8, 23.0, 23.2, 23.5, 23.7]
-RISING = [22.0 + 0.2 * i for i in range(10)]
+STEADY = [14.0, 14.2, 13.9, 14.1, 14.3, 13.8, 14.0, 14.4, 14.2]
+CLIMB = [15.0 + 0.1 * i for i in range(6)]
 ORDER = ("event_time", "event_id")
 
 
@@ -22,15 +22,15 @@ def flags(df, **options):
     return column(detect_anomalies(df, order=ORDER, **options), "ml_anomaly")
 
 
-def test_script_vectors(readings):
-    df = readings([("temperature", v) for v in [*WARM_UP, 30.0, *RISING]])
-    assert flags(df) == [None] * 20
-    assert column(predict_next(df, order=ORDER), "ml_prediction")[-1] == 23.4
-    assert column(predict_next(df, "trend", order=ORDER), "ml_prediction")[-1] == 24.0
+def test_jump_after_nine_values_passes_and_hides_what_follows(readings):
+    df = readings([("temperature", v) for v in [*STEADY, 20.0, *CLIMB]])
+    assert flags(df) == [None] * 16
+    assert column(predict_next(df, order=ORDER), "ml_prediction")[-1] == 15.3
+    assert column(predict_next(df, "trend", order=ORDER), "ml_prediction")[-1] == 15.6
 
 
 def test_short_history_is_never_flagged(readings):
-    assert flags(readings([("co2", v) for v in [450.0, 460.0, 470.0, 480.0, 1200.0]])) == [None] * 5
+    assert flags(readings([("co2", v) for v in [7.0, 8.0, 7.5, 900.0]])) == [None] * 4
 
 
 @pytest.mark.parametrize("value, expected", [(4.5, None), (4.6, True)])
