@@ -24,14 +24,26 @@ def number(value: str) -> Column:
 
 
 def mean(value: str | Column, exact: bool = False, over: WindowSpec | None = None) -> Column:
-    """Average; ``exact`` sums as DECIMAL(18,4), so the row order cannot show in the result."""
+    """Average; ``exact`` sums as DECIMAL(18,4), so the row order cannot show in the result.
+
+    Where a value does not fit that type (1e14 and beyond, infinite ones) it is the plain average.
+    """
     col = F.col(value) if isinstance(value, str) else value
     if not exact:
         return F.avg(col) if over is None else F.avg(col).over(over)
-    total, count = F.sum(col.cast("decimal(18,4)")), F.count(col)
-    if over is not None:
-        total, count = total.over(over), count.over(over)
-    return total.cast("double") / F.nullif(count, F.lit(0))
+    decimal = col.try_cast("decimal(18,4)")
+    parts = [F.sum(decimal), F.count(decimal), F.count(col), F.avg(col)]
+    total, fitting, count, average = parts if over is None else [part.over(over) for part in parts]
+    return F.when(fitting == count, total.cast("double") / F.nullif(count, F.lit(0))).otherwise(average)
+
+
+#: The sensor as a store's directory name.
+STORED_SENSOR = "stored_sensor"
+
+
+def stored_sensor(sensor: Column) -> Column:
+    """Text that stays text in a path: numbers, empty names and NULL are told apart."""
+    return F.coalesce(F.concat(F.lit("sensor-"), sensor), F.lit("none"))
 
 
 def lookup(key: str | Column, table: Mapping[str, object], default: object = None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import is_valid, lookup, outside, severity
 from telemetra.functions.fixed_values import Bands, Limits
-from telemetra.operators.features import since
+from telemetra.operators.features import of_sensor, since
 
 
 def filter_alerts(df: DataFrame, rules: Mapping[str, Limits] = fixed.STREAM_LIMITS) -> DataFrame:
@@ -30,7 +30,7 @@ def range_alerts(
     """Readings out of range in the last ``minutes``; ``newest`` keeps that many, latest first."""
     found = df.where(outside(rules) & is_valid("value") & since(df, as_of, minutes, time))
     if sensor is not None:
-        found = found.where(F.col("sensor_type") == sensor)
+        found = found.where(of_sensor(df, sensor))
     if newest is None:
         return found
     return found.orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(newest)

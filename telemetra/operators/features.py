@@ -8,14 +8,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.functions.columns import lookup, mean, number
+from telemetra.functions.columns import STORED_SENSOR, lookup, mean, number, stored_sensor
 from telemetra.operators.ordered import CHUNK_ROWS, with_row_frames
 
 
 def since(df: DataFrame, as_of: object, minutes: int, time: str = "event_time") -> Column:
     """At or after ``as_of`` minus the period; compared in the column's own type, so it is pushed down."""
     start = F.lit(as_of).cast(df.schema[time].dataType) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    return F.col(time) >= start
+    after = F.col(time) >= start
+    if time == "event_time" and "event_date" in df.columns:
+        # a store's days are those of the session that wrote it, hence the day before as well
+        after &= F.col("event_date") >= F.date_sub(F.to_date(start), 1)
+    return after
+
+
+def of_sensor(df: DataFrame, sensor: str) -> Column:
+    """Whether a reading is of the sensor; prunes the directories of a store."""
+    wanted = F.col("sensor_type") == sensor
+    if STORED_SENSOR in df.columns:
+        wanted &= F.col(STORED_SENSOR) == stored_sensor(F.lit(sensor))
+    return wanted
 
 
 def recent(
@@ -27,7 +39,7 @@ def recent(
 ) -> DataFrame:
     """Readings of one sensor in the period that ends at ``as_of`` (default: now)."""
     end = F.current_timestamp() if as_of is None else as_of
-    return df.where((F.col("sensor_type") == sensor) & since(df, end, minutes, time))
+    return df.where(of_sensor(df, sensor) & since(df, end, minutes, time))
 
 
 def with_unit(df: DataFrame, display: bool = False) -> DataFrame:

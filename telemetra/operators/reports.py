@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import mean, number
-from telemetra.operators.features import recent, since
+from telemetra.operators.features import of_sensor, recent, since
 
 
 def running_totals(
@@ -154,7 +154,7 @@ def latest_readings(
     df: DataFrame, sensor: str, limit: int = fixed.LATEST_ROWS, time: str = "event_time", order: Sequence[str] = ()
 ) -> DataFrame:
     """The latest readings of a sensor over all time, newest first."""
-    return df.where(F.col("sensor_type") == sensor).orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(limit)
+    return df.where(of_sensor(df, sensor)).orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(limit)
 
 
 def first_rows(

@@ -19,7 +19,7 @@ from telemetra.sources.adapters import (
 )
 from telemetra.sources.staging import new_folder
 from telemetra.streaming import queries as live
-from telemetra.streaming.sinks import alert_sink, raw_sink
+from telemetra.streaming.sinks import aggregate_sink, alert_sink, raw_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -447,7 +447,7 @@ def d2_bracketed(spark, sf_dir):
 # --- ordered rows ----------------------------------------------------------
 
 
-def scored_sql(columns: str, order: str = "event_time, event_id", by: str = "sensor_type") -> str:
+def scores_sql(order: str, by: str = "sensor_type") -> str:
     return f""", history AS (
   SELECT *, count(value) OVER before AS n, avg(value) OVER before AS mean, stddev_pop(value) OVER before AS deviation,
          count(value) OVER last5 AS n5, count(value) OVER last10 AS n10,
@@ -463,8 +463,11 @@ scores AS (
          CASE WHEN n >= 10 AND deviation > 0 AND abs(value - mean) / deviation > 2.5 THEN true END AS ml_anomaly,
          CASE WHEN n5 = 5 THEN round(sum5 / 5, 2) END AS simple,
          CASE WHEN n10 = 10 THEN round(value + (2 * (value - v4) + (v1 - v3)) / 10, 6)
-              WHEN n5 = 5 THEN round(value, 6) END AS trend FROM history)
-SELECT {columns} FROM readings LEFT JOIN scores USING (event_id)"""
+              WHEN n5 = 5 THEN round(value, 6) END AS trend FROM history)"""
+
+
+def scored_sql(columns: str, order: str = "event_time, event_id", by: str = "sensor_type") -> str:
+    return f"{scores_sql(order, by)}\nSELECT {columns} FROM readings LEFT JOIN scores USING (event_id)"
 
 
 ANOMALY_SQL = "ml_anomaly, CAST(CASE WHEN ml_anomaly THEN 0.95 END AS DOUBLE) AS ml_confidence"
@@ -579,17 +582,19 @@ def p2(spark, sf_dir):
 @query(
     "S3_to_messages",
     f"""
-SELECT event_id, CAST(floor(epoch(event_time)) AS BIGINT) AS original_timestamp, value, {UNIT_SQL} AS unit
+SELECT event_id, CASE WHEN epoch_us(event_time) % 1000000 = 0 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S')
+                      ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
+       '2026-01-02T03:04:05' AS kafka_timestamp, building_id, room_id, sensor_type, value, {UNIT_SQL} AS unit,
+       'historical_dataset' AS source, CAST(floor(epoch(event_time)) AS BIGINT) AS original_timestamp
 FROM readings""",
 )
 def s3(spark, sf_dir):
     sent = messages.to_messages(events_as_readings(spark, sf_dir), sent_at=SENT_AT, keep=["event_id"])
-    return sent.select(
-        "event_id",
-        F.get_json_object("value", "$.original_timestamp").cast("long").alias("original_timestamp"),
-        F.get_json_object("value", "$.value").cast("double").alias("value"),
-        F.get_json_object("value", "$.unit").alias("unit"),
+    fields = (
+        "timestamp STRING, kafka_timestamp STRING, building_id STRING, room_id STRING, sensor_type STRING, "
+        "value DOUBLE, unit STRING, source STRING, original_timestamp LONG"
     )
+    return sent.select("event_id", F.from_json("value", fields).alias("sent")).select("event_id", "sent.*")
 
 
 CSV_SQL = """
@@ -702,7 +707,7 @@ def s5(spark, sf_dir):
     return store.read_store(spark, path).select("event_id", "event_time", "sensor_type", "value")
 
 
-UPSERT_SQL = f""", first AS (SELECT * FROM readings WHERE event_id % 2 = 0),
+UPSERT_SQL = f""", first AS (SELECT * FROM readings WHERE event_id % 2 = 0 OR building_id = 'B2'),
 second AS (SELECT * FROM readings WHERE event_id % 2 = 1 AND building_id <> 'B2'),
 versions AS (
   SELECT building_id, sensor_type, {exact_mean()} AS avg_value, max(value) AS max_value, count(*) AS message_count,
@@ -712,20 +717,19 @@ versions AS (
   FROM second GROUP BY building_id, sensor_type)
 SELECT building_id, sensor_type, max_by(avg_value, spark_batch_id) AS avg_value,
        max_by(max_value, spark_batch_id) AS max_value, max_by(message_count, spark_batch_id) AS message_count,
-       max(spark_batch_id) AS spark_batch_id FROM versions GROUP BY building_id, sensor_type"""
+       max(spark_batch_id) AS spark_batch_id, TIMESTAMP '{SENT_AT}' AS last_update FROM versions GROUP BY building_id, sensor_type"""
 
 
 @query("S6_upsert_latest", UPSERT_SQL)
 def s6(spark, sf_dir):
-    # two batches that together are all readings but those the second one does not bring
+    # two batches that together are all readings; the second brings no key of building B2
     readings = events_as_readings(spark, sf_dir)
-    even = F.col("event_id") % 2 == 0
-    parts = [readings.where(even), readings.where(~even & (F.col("building_id") != "B2"))]
-    first, second = [
-        reports.running_totals(part, exact=True).withColumn("spark_batch_id", F.lit(number).cast("long"))
-        for number, part in enumerate(parts, start=1)
-    ]
-    return store.upsert_latest(first, second, ["building_id", "sensor_type"])
+    early = (F.col("event_id") % 2 == 0) | (F.col("building_id") == "B2")
+    path = new_folder(spark, "aggregates")
+    sink = aggregate_sink(path, as_of=SENT_AT)
+    for number, part in enumerate([readings.where(early), readings.where(~early)], start=1):
+        sink(reports.running_totals(part, exact=True), number)
+    return as_naive(store.KeyedTable(spark, path).read(), "last_update")
 
 
 # --- streams ---------------------------------------------------------------
@@ -813,12 +817,17 @@ def c1(spark, sf_dir):
     return jobs.process(hourly(spark, sf_dir), DEDUP_KEYS, TIES, exact=True)
 
 
-PIPELINE_SQL = """, totals AS (
-  SELECT sensor_type, count(*) AS message_count, max(value) AS max_value FROM readings GROUP BY sensor_type)
-SELECT 'aggregates' AS part, sensor_type, message_count, max_value FROM totals
-UNION ALL SELECT 'raw', sensor_type, message_count, max_value FROM totals
-UNION ALL SELECT 'alerts', sensor_type, count(*), max(value) FROM readings
-WHERE sensor_type = 'temperature' AND value > 25 GROUP BY sensor_type"""
+PIPELINE_SQL = f"""{scores_sql(ARRIVAL)}, averages AS (
+  SELECT building_id, sensor_type, avg(value) AS average, count(*) AS n, max(value) AS highest
+  FROM readings GROUP BY building_id, sensor_type)
+SELECT 'aggregates' AS part, sensor_type, building_id, CAST(sum(n) AS BIGINT) AS message_count, max(highest) AS max_value,
+       CAST(NULL AS BIGINT) AS anomalies, CAST(NULL AS DOUBLE) AS prediction_total, round(max(average), 6) AS avg_value
+FROM averages GROUP BY sensor_type, building_id
+UNION ALL SELECT 'raw', sensor_type, building_id, count(*), max(value), count(ml_anomaly),
+       CAST(sum(CAST(simple AS DECIMAL(18,2))) AS DOUBLE), NULL
+FROM readings LEFT JOIN scores USING (event_id) GROUP BY sensor_type, building_id
+UNION ALL SELECT 'alerts', sensor_type, building_id, count(*), max(value), NULL, NULL, NULL FROM readings
+WHERE sensor_type = 'temperature' AND value > 25 GROUP BY sensor_type, building_id"""
 
 
 def pipeline_stores(spark: SparkSession, sf_dir: str, read_once: bool) -> DataFrame:
@@ -826,14 +835,18 @@ def pipeline_stores(spark: SparkSession, sf_dir: str, read_once: bool) -> DataFr
     replayed(
         spark, sf_dir, lambda incoming: jobs.live(incoming, folder, progress, AVAILABLE_NOW, read_once=read_once)
     )
+    keys = ["sensor_type", "building_id"]
     counted = [F.count("*").alias("message_count"), F.max("value").alias("max_value")]
+    scored = [
+        F.count("ml_anomaly").alias("anomalies"),
+        F.sum(F.col("ml_prediction").cast("decimal(18,2)")).cast("double").alias("prediction_total"),
+    ]
     parts = {
-        "raw": store.read_store(spark, f"{folder}/raw").groupBy("sensor_type").agg(*counted),
-        "alerts": store.read_store(spark, f"{folder}/alerts").groupBy("sensor_type").agg(*counted),
+        "raw": store.read_store(spark, f"{folder}/raw").groupBy(*keys).agg(*counted, *scored),
+        "alerts": store.read_store(spark, f"{folder}/alerts").groupBy(*keys).agg(*counted),
         "aggregates": store.KeyedTable(spark, f"{folder}/aggregates")
         .read()
-        .groupBy("sensor_type")
-        .agg(F.sum("message_count").alias("message_count"), F.max("max_value").alias("max_value")),
+        .select(*keys, "message_count", "max_value", F.round("avg_value", 6).alias("avg_value")),
     }
     return features.union_readings(*[df.select(F.lit(name).alias("part"), "*") for name, df in parts.items()])
 
@@ -863,6 +876,42 @@ def c3(spark, sf_dir):
     return summary["series_stats"]
 
 
+def sql_of(name: str) -> str:
+    return SQL[name].removeprefix(WITH_READINGS)
+
+
+SUMMARY_SQL = {
+    "totals": sql_of("A5_store_totals"),
+    "kpis": sql_of("A2_sensor_kpis"),
+    "series": SERIES_SQL,
+    "locations": BY_LOCATION_SQL.replace("'co2'", "'temperature'"),
+    "latest": f""", latest AS (
+  SELECT * FROM readings WHERE sensor_type = 'temperature' ORDER BY event_time DESC, event_id DESC LIMIT 100)
+SELECT {DISPLAY_SQL} FROM latest""",
+    "alerts": f"""
+SELECT * FROM readings WHERE event_time >= {AS_OF} - INTERVAL 60 MINUTES
+  AND sensor_type = 'temperature' AND (value < 16 OR value > 28) ORDER BY event_time DESC, event_id DESC LIMIT 5""",
+}
+
+
+def summary_section(section: str) -> Query:
+    """One section of the summary, asked of the stored readings."""
+
+    def c3_section(spark, sf_dir):
+        readings, folder = events_as_readings(spark, sf_dir), new_folder(spark, "store")
+        store.write_batch(readings, folder, 0)
+        stored = store.read_store(spark, folder)
+        summary = jobs.operations_summary(stored, "temperature", WEEK, newest_time(readings), order=TIES, exact=True)
+        found = summary[section]
+        return found.select(*readings.columns) if section in ("series", "alerts") else found
+
+    return c3_section
+
+
+for name, sql in SUMMARY_SQL.items():
+    query(f"C3_operations_summary_{name}", sql)(summary_section(name))
+
+
 @query(
     "C4_historical_messages",
     f"""{SCHEDULE_SQL}
@@ -880,3 +929,71 @@ def c4(spark, sf_dir):
 def c5(spark, sf_dir):
     described = jobs.exploration(events_as_readings(spark, sf_dir), exact=True)["profile"]
     return rounded(described, "std_value", "q25", "q50", "q75")
+
+
+def exploration_section(section: str) -> Query:
+    def c5_section(spark, sf_dir):
+        return jobs.exploration(events_as_readings(spark, sf_dir), order=IN_TIME, exact=True)[section]
+
+    return c5_section
+
+
+EXPLORATION_SQL = {
+    "shapes": sql_of("P14_shapes"),
+    "sample": sql_of("P14_first_rows"),
+    "missing": sql_of("A10_missing_values"),
+    "histogram": HISTOGRAM_SQL,
+}
+
+for name, sql in EXPLORATION_SQL.items():
+    query(f"C5_exploration_{name}", sql)(exploration_section(name))
+
+
+# --- readings with gaps ----------------------------------------------------
+
+#: Some readings without a value, with NaN or an infinite one, or of an unknown sensor.
+DIRTY_SQL = """, dirty AS (
+  SELECT event_id, event_time, building_id, room_id, CASE WHEN event_id % 17 <> 0 THEN sensor_type END AS sensor_type,
+         CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN CAST('NaN' AS DOUBLE)
+              WHEN event_id % 1009 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END AS value FROM readings)"""
+NO_NUMBER = "CASE WHEN NOT isnan(value) THEN value END"
+
+
+def dirty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("event_id")
+    value = (
+        F.when(number % 11 == 0, None)
+        .when(number % 13 == 0, float("nan"))
+        .when(number % 1009 == 0, float("inf"))
+        .otherwise(F.col("value"))
+    )
+    sensor = F.when(number % 17 != 0, F.col("sensor_type"))
+    return events_as_readings(spark, sf_dir).withColumns({"value": value, "sensor_type": sensor})
+
+
+@query(
+    "A2_sensor_kpis_dirty",
+    f"""{DIRTY_SQL}, numbers AS (SELECT sensor_type, {NO_NUMBER} AS value FROM dirty WHERE {IN_WEEK})
+SELECT sensor_type, round(CASE WHEN max(value) = CAST('Infinity' AS DOUBLE) THEN max(value)
+       ELSE sum(CASE WHEN NOT isinf(value) THEN value END) / count(value) END, 6) AS avg_value,
+       max(value) AS max_value, min(value) AS min_value, count(*) AS reading_count FROM numbers GROUP BY sensor_type""",
+)
+def a2_dirty(spark, sf_dir):
+    readings = dirty_readings(spark, sf_dir)
+    return reports.sensor_kpis(readings, WEEK, newest_time(readings)).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@query("F3_range_alerts_dirty", DIRTY_SQL + RANGE_ALERTS_SQL.replace("FROM readings WHERE", "FROM dirty WHERE NOT isnan(value) AND"))
+def f3_dirty(spark, sf_dir):
+    readings = dirty_readings(spark, sf_dir)
+    return alerts.range_alerts(readings, newest_time(readings), WEEK)
+
+
+@query("S10_read_store_dirty", f"{DIRTY_SQL}\nSELECT event_id, sensor_type, CASE WHEN isnan(value) THEN 'NaN' ELSE "
+       "CAST(round(value) AS BIGINT)::VARCHAR END AS shown FROM dirty WHERE value IS NULL OR NOT isinf(value)")
+def s10_dirty(spark, sf_dir):
+    folder = new_folder(spark, "store")
+    store.write_batch(dirty_readings(spark, sf_dir), folder, 0)
+    found = store.read_store(spark, folder).where("value IS NULL OR value < double('Infinity') OR isnan(value)")
+    shown = F.when(F.isnan("value"), "NaN").otherwise(F.round("value").cast("long").cast("string"))
+    return found.select("event_id", "sensor_type", shown.alias("shown"))

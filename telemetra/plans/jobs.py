@@ -94,10 +94,11 @@ def historical_messages(
     order: Sequence[str] = ("source_file", "source_row"),
     sent_at: object = None,
 ) -> DataFrame:
-    """Stored readings as messages, each with its due time after the start of the replay."""
+    """Stored readings as keyed messages in time order, each with its due time after the start of the replay."""
     timed = replay.replay_schedule(features.with_unit(readings), speed_factor, order=order)
     keep = ["release_seconds", "wait_seconds"]
-    return messages.to_messages(timed, sent_at=sent_at, keep=keep)
+    in_time = timed.orderBy("release_seconds", *order)
+    return messages.to_messages(in_time, sent_at=sent_at, keep=keep, keyed=True)
 
 
 def exploration(

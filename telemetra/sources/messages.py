@@ -68,16 +68,19 @@ def to_messages(
     source: str = fixed.HISTORICAL_SOURCE,
     sent_at: object = None,
     keep: Sequence[str] = (),
+    keyed: bool = False,
 ) -> DataFrame:
     """One JSON ``value`` per reading, ready for a Kafka or text sink.
 
     ``sent_at`` is the sending time written into the message (default: now);
-    ``keep`` names columns to have beside the message.
+    ``keep`` names columns to have beside the message; ``keyed`` adds a ``key`` of building, room
+    and sensor, which Kafka keeps in one partition and so in order.
     """
     sent = F.current_timestamp() if sent_at is None else F.lit(sent_at).cast("timestamp")
     unit = F.col("unit") if "unit" in df.columns else lookup("sensor_type", fixed.UNITS, fixed.UNKNOWN_UNIT)
     return df.select(
         *keep,
+        *([F.concat_ws("/", "building_id", "room_id", "sensor_type").alias("key")] if keyed else []),
         F.to_json(
             F.struct(
                 iso_time(time).alias("timestamp"),
@@ -94,8 +97,15 @@ def to_messages(
     )
 
 
-def publish(messages: DataFrame, servers: str, topic: str = fixed.TOPIC) -> None:
-    """Send messages to Kafka; needs the Kafka connector on the class path."""
+def in_sending_order(messages: DataFrame, time: str = "release_seconds") -> DataFrame:
+    """A key's messages in one task and in time order, so that its topic partition gets them in that order."""
+    return messages.repartition("key").sortWithinPartitions(time, "key", "value")
+
+
+def publish(messages: DataFrame, servers: str, topic: str = fixed.TOPIC, time: str = "release_seconds") -> None:
+    """Send messages to Kafka, those with a key in the order of ``time``; needs the Kafka connector."""
+    if "key" in messages.columns:
+        messages = in_sending_order(messages, time).select("key", "value")
     (
         messages.write.format("kafka")
         .option("kafka.bootstrap.servers", servers)

@@ -6,21 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from telemetra.functions.columns import iso_time
+from telemetra.functions.columns import STORED_SENSOR, iso_time, stored_sensor
+from telemetra.operators.features import of_sensor
 from telemetra.sources.staging import file_system, hadoop_path
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
     """Store one micro-batch in a folder of its own, so that writing it again replaces it.
 
-    Inside, the files are laid out by sensor type and day, which readers prune by. Rebalancing
-    gathers small directories into single files and divides large ones among tasks.
+    Inside, the files are laid out by sensor (``stored_sensor``) and day (``event_date``), which
+    readers prune by; the sensor type itself is in the files and comes back as it was. Rebalancing gathers small directories into single files and divides large ones among tasks.
     """
     (
-        df.withColumn("event_date", F.to_date(time))
-        .hint("rebalance", "sensor_type", "event_date")
+        df.withColumns({STORED_SENSOR: stored_sensor(F.col("sensor_type")), "event_date": F.to_date(time)})
+        .hint("rebalance", STORED_SENSOR, "event_date")
         .write.mode("overwrite")
-        .partitionBy("sensor_type", "event_date")
+        .partitionBy(STORED_SENSOR, "event_date")
         .parquet(f"{path.rstrip('/')}/spark_batch_id={batch_id}")
     )
 
@@ -37,7 +38,7 @@ def read_store(
     stored = spark.read.parquet(path)
     kind = stored.schema[time].dataType
     if sensor is not None:
-        stored = stored.where(F.col("sensor_type") == sensor)
+        stored = stored.where(of_sensor(stored, sensor))
     if since is not None:
         bound = F.lit(since).cast(kind)
         stored = stored.where(F.col(time) >= bound)

@@ -18,6 +18,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "8g")
         .config("spark.python.unix.domain.socket.enabled", "true")
         .getOrCreate()

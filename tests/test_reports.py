@@ -97,3 +97,9 @@ def test_summary_and_exploration(readings):
     assert report["shapes"].first()["row_count"] == 300
     assert report["histogram"].agg(F.sum("value_count")).first()[0] == 300
     assert report["profile"].first()["q50"] == 1149.5
+
+
+def test_exact_mean_of_values_beyond_the_decimal(spark, readings):
+    for values, wanted in (((0.1, 0.2), 0.15), ((1.0, float("inf")), float("inf")), ((1e15, 3e15), 2e15), ((None,), None)):
+        found = reports.running_totals(readings([("co2", v) for v in values]), exact=True).first()["avg_value"]
+        assert found == (wanted if wanted is None else pytest.approx(wanted))

@@ -200,7 +200,7 @@ def test_one_file_per_small_directory(spark, readings, tmp_path):
     df = readings([(sensor, float(i)) for i in range(50) for sensor in ("co2", "light")]).repartition(8)
     store.write_batch(df, str(tmp_path / "store"), 0)
     for sensor in ("co2", "light"):
-        files = list((tmp_path / "store").glob(f"spark_batch_id=0/sensor_type={sensor}/*/*.parquet"))
+        files = list((tmp_path / "store").glob(f"spark_batch_id=0/stored_sensor=sensor-{sensor}/*/*.parquet"))
         assert len(files) == 1
 
 
@@ -209,7 +209,7 @@ def test_store_prunes(spark, readings, tmp_path):
     store.write_batch(readings([("co2", 1.0), ("light", 2.0)]), path, 0)
     found = store.read_store(spark, path, "co2", datetime(2024, 1, 1))
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "sensor_type" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "stored_sensor" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(event_time" in plan
 
@@ -289,3 +289,35 @@ def test_processed_files_are_in_order(spark, tmp_path, total_order):
         keys = [(r["room_id"], r["sensor_type"], r["timestamp"]) for r in rows]
         assert keys and keys == sorted(keys)
     assert len(sorted((tmp_path / "all").glob("part-*.csv"))) > 1
+
+
+@pytest.mark.parametrize("section", ["kpis", "series", "series_stats", "locations", "alerts", "latest"])
+def test_summary_of_a_store_prunes(spark, readings, tmp_path, section):
+    path = str(tmp_path / "store")
+    store.write_batch(readings([("co2", 1.0), ("light", 2.0)]), path, 0)
+    found = operations_summary(store.read_store(spark, path), "co2", 60, datetime(2024, 1, 1, 1))[section]
+    filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert section == "latest" or "event_date" in filters
+    assert section == "kpis" or "stored_sensor" in filters
+
+
+def test_store_keeps_sensor_names(spark, readings, tmp_path):
+    path = str(tmp_path / "store")
+    names = ["1", "2", "", "none", "sensor-1", "a/b=c", None]
+    store.write_batch(readings([(name, float(i)) for i, name in enumerate(names)]), path, 0)
+    stored = store.read_store(spark, path)
+    assert {r["value"]: r["sensor_type"] for r in stored.collect()} == dict(enumerate(names))
+    for i, name in enumerate(names[:-1]):
+        assert [r["value"] for r in store.read_store(spark, path, sensor=name).collect()] == [i]
+
+
+def test_historical_messages_come_in_time_order(spark, readings):
+    df = readings([("co2", float(i)) for i in range(40)] + [("light", float(i)) for i in range(40)]).repartition(7)
+    sent = historical_messages(df, order=("sensor_type", "value"))
+    due = [r["release_seconds"] for r in sent.collect()]
+    assert due == sorted(due) and len(due) == 80
+    tasks = messages.in_sending_order(sent).withColumn("task", F.spark_partition_id()).collect()
+    assert len({(r["key"], r["task"]) for r in tasks}) == len({r["key"] for r in tasks}) == 2
+    for key in {r["key"] for r in tasks}:
+        due = [r["release_seconds"] for r in tasks if r["key"] == key]
+        assert due == sorted(due)
