@@ -602,8 +602,8 @@ SELECT CAST(floor(epoch(event_time)) AS BIGINT) AS timestamp_unix, value, room_i
        'SDH_Building' AS building_id, date_trunc('second', event_time) AS event_time FROM readings"""
 
 
-@query("S2_sensor_csv", CSV_SQL)
-def s2(spark, sf_dir):
+def sensor_tree(spark: SparkSession, sf_dir: str) -> str:
+    """All readings as sensor files below building, room and sensor."""
     readings = events_as_readings(spark, sf_dir)
     base = new_folder(spark, "tree")
     file_name = F.when(F.col("sensor_type") == "occupancy", "pir").otherwise(F.col("sensor_type"))
@@ -611,15 +611,40 @@ def s2(spark, sf_dir):
         readings.select(
             F.unix_seconds(F.col("event_time").cast("timestamp")).alias("timestamp_unix"),
             "value",
+            F.col("building_id").alias("building"),
             F.col("room_id").alias("room"),
             file_name.alias("sensor"),
         )
         .write.option("header", True)
-        .partitionBy("room", "sensor")
+        .partitionBy("building", "room", "sensor")
         .csv(base)
     )
+    return base
+
+
+TREE_LAYOUT = {
+    "files": "building=*/room=*/sensor=*/*.csv",
+    "room_and_sensor": r"room=([^/]+)/sensor=([^/]+)/",
+}
+
+
+@query("S2_sensor_csv", CSV_SQL)
+def s2(spark, sf_dir):
+    loaded = csv_tree.read_sensor_csv(spark, sensor_tree(spark, sf_dir), **TREE_LAYOUT)
+    return as_naive(loaded, "event_time").drop("source_file", "source_row")
+
+
+@query(
+    "L9_rooms_of_sensor_csv",
+    CSV_SQL.replace("'SDH_Building' AS building_id", "building_id") + " WHERE room_id IN ('R1', 'R4', 'R7')",
+)
+def l9(spark, sf_dir):
     loaded = csv_tree.read_sensor_csv(
-        spark, base, files="room=*/sensor=*/*.csv", room_and_sensor=r"room=([^/]+)/sensor=([^/]+)/"
+        spark,
+        sensor_tree(spark, sf_dir),
+        rooms=["R1", "R4", "R7"],
+        building_pattern=r"/building=([^/]+)/",
+        **TREE_LAYOUT,
     )
     return as_naive(loaded, "event_time").drop("source_file", "source_row")
 

@@ -22,12 +22,14 @@ def read_sensor_csv(
     files: str | None = None,
     room_and_sensor: str = ROOM_AND_SENSOR,
     check_width: bool = True,
+    building_pattern: str | None = None,
 ) -> DataFrame:
     """All sensor files of a tree as one scan; the listing and the parsing are distributed.
 
     Columns are taken by position (Unix seconds, value) below a header line. Room
     and sensor come from the path: for another layout give ``files``, the glob below
-    ``base``, and ``room_and_sensor``, a pattern with those two groups. ``check_width``
+    ``base``, and ``room_and_sensor``, a pattern with those two groups. ``building_pattern``, with
+    one group, takes the building from the path too; ``building`` stands in where it finds none. ``check_width``
     leaves out files whose header has fewer than two columns, at the price of reading the
     lines once more; short lines of other files stay, without a value. ``source_file`` and ``source_row`` give the order in which the rows were stored.
     """
@@ -58,12 +60,16 @@ def read_sensor_csv(
     sensor = F.regexp_extract("source_file", room_and_sensor, 2)
     if map_pir:
         sensor = F.coalesce(lookup(sensor, {"pir": fixed.PIR_NAME}), sensor)
+    place = F.lit(building)
+    if building_pattern is not None:
+        named = F.regexp_extract("source_file", building_pattern, 1)
+        place = F.when(named != "", named).otherwise(building)
     return lines.select(
         "timestamp_unix",
         "value",
         F.regexp_extract("source_file", room_and_sensor, 1).alias("room_id"),
         sensor.alias("sensor_type"),
-        F.lit(building).alias("building_id"),
+        place.alias("building_id"),
         F.timestamp_seconds("timestamp_unix").alias("event_time"),
         "source_file",
         "source_row",
