@@ -37,6 +37,8 @@ def mean(value: str | Column, exact: bool = False, over: WindowSpec | None = Non
     return F.when(fitting == count, total.cast("double") / F.nullif(count, F.lit(0))).otherwise(average)
 
 
+#: The columns of a store that hold the day of a time, and are directories.
+STORED_DAYS = {"event_time": "event_date", "processed_at": "processed_date"}
 #: The sensor as a store's directory name.
 STORED_SENSOR = "stored_sensor"
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.functions.columns import STORED_SENSOR, lookup, mean, number, stored_sensor
+from telemetra.functions.columns import STORED_DAYS, STORED_SENSOR, lookup, mean, number, stored_sensor
 from telemetra.operators.ordered import CHUNK_ROWS, with_row_frames
 
 
@@ -16,9 +16,10 @@ def since(df: DataFrame, as_of: object, minutes: int, time: str = "event_time")
     """At or after ``as_of`` minus the period; compared in the column's own type, so it is pushed down."""
     start = F.lit(as_of).cast(df.schema[time].dataType) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
     after = F.col(time) >= start
-    if time == "event_time" and "event_date" in df.columns:
+    day = STORED_DAYS.get(time)
+    if day in df.columns:
         # a store's days are those of the session that wrote it, hence the day before as well
-        after &= F.col("event_date") >= F.date_sub(F.to_date(start), 1)
+        after &= F.col(day) >= F.date_sub(F.to_date(start), 1)
     return after
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.functions.columns import mean, number
+from telemetra.functions.columns import STORED_DAYS, mean, number
 from telemetra.operators.features import of_sensor, recent, since
 
 
@@ -153,8 +153,22 @@ def time_series(
 def latest_readings(
     df: DataFrame, sensor: str, limit: int = fixed.LATEST_ROWS, time: str = "event_time", order: Sequence[str] = ()
 ) -> DataFrame:
-    """The latest readings of a sensor over all time, newest first."""
-    return df.where(of_sensor(df, sensor)).orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(limit)
+    """The latest readings of a sensor over all time, newest first.
+
+    Of a store, which knows each row's day, the rows are counted by day first (no other column is
+    read); only the days from the one that completes ``limit`` are read whole.
+    """
+    found = df.where(of_sensor(df, sensor))
+    day = STORED_DAYS.get(time)
+    if day in df.columns:
+        per_day = found.where(F.col(day).isNotNull()).groupBy(day).agg(F.count("*").alias("n"))
+        newest = Window.orderBy(F.desc(day))  # a row for each day
+        enough = per_day.withColumn("so_far", F.sum("n").over(newest)).where(F.col("so_far") >= limit)
+        first = enough.agg(F.max(day)).first()[0]
+        if first is not None:
+            # days are those of the sessions that wrote them, so a day may begin up to 26 hours apart
+            found = found.where(F.col(day) >= F.date_sub(F.lit(first), 2))
+    return found.orderBy(F.desc(time), *[F.desc(c) for c in order]).limit(limit)
 
 
 def first_rows(

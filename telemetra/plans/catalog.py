@@ -696,6 +696,33 @@ def s10(spark, sf_dir):
     return found.select(*readings.columns)
 
 
+def merged_store(spark, readings: DataFrame) -> str:
+    """A store of five batches, the first three of them merged."""
+    folder = new_folder(spark, "store")
+    for number in range(5):
+        store.write_batch(readings.where(F.pmod("event_id", F.lit(5)) == number), folder, number)
+    store.compact(spark, folder)
+    return folder
+
+
+@query("S10_read_merged_store", f"\nSELECT * FROM readings WHERE sensor_type = 'co2' AND {IN_WEEK}")
+def s10_merged(spark, sf_dir):
+    readings = events_as_readings(spark, sf_dir)
+    start = F.lit(newest_time(readings)) - F.expr("INTERVAL 7 DAYS")
+    found = store.read_store(spark, merged_store(spark, readings), "co2", since=start)
+    return found.select(*readings.columns)
+
+
+@query(
+    "L2_latest_of_store",
+    "\nSELECT * FROM readings WHERE sensor_type = 'light' ORDER BY event_time DESC, event_id DESC LIMIT 100",
+)
+def l2_of_store(spark, sf_dir):
+    readings = events_as_readings(spark, sf_dir)
+    stored = store.read_store(spark, merged_store(spark, readings))
+    return reports.latest_readings(stored, "light", order=TIES).select(*readings.columns)
+
+
 def halves(readings: DataFrame) -> list[DataFrame]:
     """All readings as two batches, one after the other in time."""
     begin, end = readings.agg(F.min("event_time"), F.max("event_time")).first()

@@ -2,28 +2,84 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from telemetra.functions.columns import STORED_SENSOR, iso_time, stored_sensor
-from telemetra.operators.features import of_sensor
+from telemetra.functions.columns import STORED_DAYS, STORED_SENSOR, iso_time, stored_sensor
+from telemetra.operators.features import of_sensor, union_readings
 from telemetra.sources.staging import file_system, hadoop_path
 
 
+#: Folders of merged batches; Spark's own listing passes over names that begin so.
+MERGED = re.compile(r"_merged-(\d+)-(\d+)")
+BATCH = re.compile(r"spark_batch_id=(\d+)")
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
     """Store one micro-batch in a folder of its own, so that writing it again replaces it.
 
-    Inside, the files are laid out by sensor (``stored_sensor``) and day (``event_date``), which
-    readers prune by; the sensor type itself is in the files and comes back as it was. Rebalancing gathers small directories into single files and divides large ones among tasks.
+    Inside, the files are laid out by sensor (``stored_sensor``), day of processing (``processed_date``, if
+    ``processed_at`` is there) and day (``event_date``), which readers prune by; the sensor type itself is
+    in the files and comes back as it was.
+    """
+    columns = {STORED_SENSOR: stored_sensor(F.col("sensor_type")), "event_date": F.to_date(time)}
+    if "processed_at" in df.columns:
+        columns["processed_date"] = F.to_date("processed_at")
+    _write_by_day(df.withColumns(columns), f"{path.rstrip('/')}/spark_batch_id={batch_id}")
+
+
+def _write_by_day(df: DataFrame, folder: str) -> None:
+    """Rebalancing gathers small directories into single files and divides large ones among tasks."""
+    by = [c for c in (STORED_SENSOR, "processed_date", "event_date") if c in df.columns]
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(folder)
+
+
+def _folders(spark: SparkSession, path: str) -> tuple[list[str], list[int], list[str]]:
+    """Names of the complete merged folders, numbers of the batches outside them, and names that are no longer read."""
+    root = hadoop_path(spark, path)
+    files = file_system(spark, root)
+    if not files.exists(root):
+        return [], [], []
+    names = [status.getPath().getName() for status in files.listStatus(root)]
+    ranges = {n: tuple(map(int, found.groups())) for n in names if (found := MERGED.fullmatch(n))}
+    merged = [n for n in sorted(ranges, key=ranges.get) if files.exists(hadoop_path(spark, f"{path}/{n}/_SUCCESS"))]
+    last = max((ranges[n][1] for n in merged), default=-1)
+    batches = sorted(int(found[1]) for n in names if (found := BATCH.fullmatch(n)))
+    outdated = [f"spark_batch_id={b}" for b in batches if b <= last] + [n for n in ranges if n not in merged]
+    return merged, [b for b in batches if b > last], outdated
+
+
+def _all_stored(spark: SparkSession, path: str) -> DataFrame:
+    path = path.rstrip("/")
+    merged, batches, _ = _folders(spark, path)
+    if not merged:
+        return spark.read.parquet(path)
+    parts = [spark.read.parquet(f"{path}/{name}") for name in merged]
+    if batches:
+        parts.append(spark.read.option("basePath", path).parquet(*[f"{path}/spark_batch_id={b}" for b in batches]))
+    return union_readings(*parts)
+
+
+def compact(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Merge the batches since the last call, but for the newest ``keep``, into one folder by sensor and day.
+
+    Run it now and then, say daily, from one place: the folders to list then grow with the days, not with the
+    batches, and no row is merged twice. A folder counts when it is complete, and replaces its batches from
+    then on, so a call that dies changes nothing. The batches themselves go with the next call, for the
+    sake of readers that began before; a query that starts again repeats its newest batch only, which
+    ``keep`` leaves alone.
     """
-    (
-        df.withColumns({STORED_SENSOR: stored_sensor(F.col("sensor_type")), "event_date": F.to_date(time)})
-        .hint("rebalance", STORED_SENSOR, "event_date")
-        .write.mode("overwrite")
-        .partitionBy(STORED_SENSOR, "event_date")
-        .parquet(f"{path.rstrip('/')}/spark_batch_id={batch_id}")
-    )
+    path = path.rstrip("/")
+    _, batches, outdated = _folders(spark, path)
+    for name in outdated:
+        folder = hadoop_path(spark, f"{path}/{name}")
+        file_system(spark, folder).delete(folder, True)
+    old = batches[: max(len(batches) - max(keep, 1), 0)]
+    if old:
+        rows = spark.read.option("basePath", path).parquet(*[f"{path}/spark_batch_id={b}" for b in old])
+        _write_by_day(rows, f"{path}/_merged-{old[0]}-{old[-1]}")
 
 
 def read_store(
@@ -34,21 +90,22 @@ def read_store(
     until: object = None,
     time: str = "event_time",
 ) -> DataFrame:
-    """Stored readings of a sensor from ``since`` up to ``until``, both included."""
-    stored = spark.read.parquet(path)
+    """Stored readings of a sensor from ``since`` up to ``until``, both included; merged batches and others."""
+    stored = _all_stored(spark, path)
+    day = STORED_DAYS.get(time)
     kind = stored.schema[time].dataType
     if sensor is not None:
         stored = stored.where(of_sensor(stored, sensor))
     if since is not None:
         bound = F.lit(since).cast(kind)
         stored = stored.where(F.col(time) >= bound)
-        if time == "event_time":
-            stored = stored.where(F.col("event_date") >= F.to_date(bound))
+        if day in stored.columns:
+            stored = stored.where(F.col(day) >= F.date_sub(F.to_date(bound), 1))
     if until is not None:
         bound = F.lit(until).cast(kind)
         stored = stored.where(F.col(time) <= bound)
-        if time == "event_time":
-            stored = stored.where(F.col("event_date") <= F.to_date(bound))
+        if day in stored.columns:
+            stored = stored.where(F.col(day) <= F.date_add(F.to_date(bound), 1))
     return stored
 
 

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from conftest import START, column
-from telemetra.operators.reports import running_totals
+from telemetra.operators.reports import latest_readings, running_totals
 from telemetra.operators.scoring import score_readings
 from telemetra.plans.jobs import historical_messages, operations_summary, preprocess, process
 from telemetra.sources import messages, staging, store
@@ -196,6 +196,55 @@ def test_batch_is_replaced_when_written_again(spark, readings, tmp_path):
     assert store.read_store(spark, path, "light", datetime(2024, 1, 1), datetime(2024, 1, 2)).count() == 1
 
 
+def test_batches_merge(spark, readings, tmp_path):
+    path = str(tmp_path / "store")
+
+    def write(batch):
+        rows = readings([("co2", float(batch)), (None, 2.0), ("light", math.nan)])
+        rows = rows.withColumns({"processed_at": F.lit(START) + F.make_dt_interval(F.lit(batch)), "event_time": F.when(F.col("value") != 2, F.col("event_time"))})
+        store.write_batch(rows, path, batch)
+
+    def stored(**options):
+        return sorted(map(repr, store.read_store(spark, path, **options).select("spark_batch_id", "event_id", "event_time", "sensor_type", "value", "processed_at").collect()))
+
+    for batch in range(5):
+        write(batch)
+    before = stored()
+    assert len(before) == 15
+    store.compact(spark, path)
+    assert (tmp_path / "store" / "_merged-0-2").exists() and stored() == before
+    write(4)  # as after a restart
+    assert stored() == before
+    write(5), write(6)
+    before = stored()
+    store.compact(spark, path)
+    assert not (tmp_path / "store" / "spark_batch_id=2").exists() and (tmp_path / "store" / "spark_batch_id=4").exists()
+    assert stored() == before and len(before) == 21
+    (tmp_path / "store" / "_merged-3-4" / "_SUCCESS").unlink()  # as if the writer had died
+    assert stored() == before
+    store.compact(spark, path)
+    store.compact(spark, path)
+    assert stored() == before
+    assert sorted(f.name for f in (tmp_path / "store").iterdir()) == ["_merged-0-2", "_merged-3-4", "spark_batch_id=5", "spark_batch_id=6"]
+    later = store.read_store(spark, path, "co2", datetime(2024, 1, 4), time="processed_at")
+    assert sorted(r["value"] for r in later.collect()) == [3.0, 4.0, 5.0, 6.0]
+    scans = later._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1:]
+    assert len(scans) == 3 and all("processed_date" in s.split("PushedFilters")[0] and "stored_sensor" in s.split("PushedFilters")[0] for s in scans)
+
+
+def test_latest_readings_of_a_store_read_few_days(spark, readings, tmp_path):
+    path = str(tmp_path / "store")
+    df = readings([("co2", float(i)) for i in range(40)] + [("light", 1.0)]).withColumn("event_time", F.expr("event_time + make_interval(0, 0, 0, event_id)"))
+    store.write_batch(df.withColumn("event_time", F.when(F.col("event_id") != 39, F.col("event_time"))), path, 0)
+    found = latest_readings(store.read_store(spark, path), "co2", 5)
+    filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "event_date" in filters
+    assert [r["value"] for r in found.collect()] == [38.0, 37.0, 36.0, 35.0, 34.0]
+    all_of = latest_readings(store.read_store(spark, path), "co2", 60).collect()  # more than there are: those without a time come last
+    assert len(all_of) == 40 and all_of[-1]["value"] == 39.0
+    assert latest_readings(store.read_store(spark, path), "pir", 5).count() == 0
+
+
 def test_one_file_per_small_directory(spark, readings, tmp_path):
     df = readings([(sensor, float(i)) for i in range(50) for sensor in ("co2", "light")]).repartition(8)
     store.write_batch(df, str(tmp_path / "store"), 0)
