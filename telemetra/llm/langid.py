@@ -4,8 +4,8 @@ An n-gram (one to ``LONGEST`` code points of the lower-cased text) falls into on
 hashed features. Its term frequency is its share of the text's n-grams; its inverse document frequency
 comes from all documents that may be learnt from. The weights are trained by
 follow-the-regularised-leader with L1 and L2 penalties, per coordinate, on a bounded sample
-(``TRAIN_ROWS`` documents first in the order of a hash of their ids, an equal bound for each language),
-and a temperature is fitted on a fifth of it that training doesn't see. As a term frequency
+(``TRAIN_ROWS`` documents first in the order of a hash of their ids, an equal bound for each language; the number
+of languages has no bound), and a temperature is fitted on a fifth of it that training doesn't see. As a term frequency
 is a share, a text's score is one sum over its n-grams: whole texts are scored in numpy
 without being cut.
 
@@ -29,7 +29,6 @@ BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 LONGEST = 3
 TRAIN_ROWS = 800
-MOST_LANGUAGES = 200
 SLICES = 64
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -129,7 +128,7 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, alp
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - sigma * w
             n[at] += g * g
-    w = weight(np.arange(BUCKETS + 1))
+    w = np.concatenate([weight(slice(at, at + (1 << 12))) for at in range(0, BUCKETS + 1, 1 << 12)])
     return w[:BUCKETS], w[BUCKETS]
 
 
@@ -156,8 +155,8 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         place = F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id", "t"))
         first = first.withColumn("r", place).filter(F.col("r") <= rows).drop("r")
     first = first.groupBy("lang", "doc_id", "t").agg(F.min("h").alias("h"))
-    languages = [r["lang"] for r in first.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES).collect()]
-    chosen = first.filter(F.col("lang").isin(languages)).select("doc_id", "lang", "t")  # at most rows x MOST_LANGUAGES
+    languages = [r["lang"] for r in first.select("lang").distinct().orderBy("lang").collect()]
+    chosen = first.select("doc_id", "lang", "t")  # at most rows x languages
 
     def begin():
         def compute(texts):
@@ -170,16 +169,18 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return compute
 
     texts = usable.join(F.broadcast(chosen.withColumnRenamed("t", "__t")), ["doc_id", "lang"]).filter(F.xxhash64("text") == F.col("__t"))
-    sparse = map_texts(texts, begin, "at BINARY, times BINARY", keep=["doc_id", "lang"])
-    data, held = [], []
-    for row in sparse.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "lang", "at").limit(rows * len(languages)).toLocalIterator():
+    sparse = map_texts(texts, begin, "at BINARY, times BINARY", keep=["doc_id", "lang", "__t"]).dropDuplicates(["doc_id", "lang", "__t"])
+    data, held, number, learnt = [], [], {name: i for i, name in enumerate(languages)}, set()
+    for row in sparse.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "lang", "at").toLocalIterator():
         at, times = np.frombuffer(row["at"], "<u4").astype(np.int64), np.frombuffer(row["times"], "<u4")
-        item = (at, times / times.sum() * idf[at], languages.index(row["lang"]))
-        (held if (len(data) + len(held)) % 5 == 4 else data).append(item)
+        item = (at, times / times.sum() * idf[at], number[row["lang"]])
+        (held if (len(data) + len(held)) % 5 == 4 and item[2] in learnt else data).append(item)  # each language's first row is learnt
+        learnt.add(item[2])
     weights, bias = train_ftrl(data, len(languages))
     logits = np.array([bias + v @ weights[a] for a, v, _ in held]).reshape(len(held), len(languages))
     temperature = fit_temperature(logits, np.array([c for *_, c in held], np.int64))
-    return Model(languages, (weights * idf[:, None]).astype(np.float32), bias, temperature)
+    weights *= idf[:, None]
+    return Model(languages, weights.astype(np.float32), bias, temperature)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, least_score: float | None = None) -> DataFrame:
