@@ -8,7 +8,9 @@ learn from rejects nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.llm import decontaminate, langid, mixing, quality, simhash
 from telemetra.llm.common import table
@@ -19,12 +21,22 @@ from telemetra.sources.staging import file_system, hadoop_path, new_folder, pass
 LEAST_SURE = 0.5
 
 
+def passing(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``stage`` keeps, with all columns as they came.
+
+    Other columns than id and text have names of their own meanwhile, which no operator adds or replaces.
+    """
+    names = {c: c if c in ("doc_id", "text") else f"__column_{i}__" for i, c in enumerate(docs.columns)}
+    kept = stage(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified."""
     model = langid.train(docs.filter(~held_out(4, 2)))
     if not model.languages:
         return docs
-    return langid.predict(docs, model, least_score=LEAST_SURE).select(*docs.columns)
+    return passing(docs, lambda some: langid.predict(some, model, least_score=LEAST_SURE))
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +44,17 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trees = quality.train(docs, table(spark, sf_dir, "labels").filter(~held_out(4, 2)))
     if not len(trees.leaf):
         return docs
-    return quality.score(docs, trees).filter("predicted = 1").select(*docs.columns)
+    return passing(docs, lambda some: quality.score(some, trees).filter("predicted = 1"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return simhash.keep_first(docs)
+    return passing(docs, simhash.keep_first)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).filter("n_hit = 0").select(*docs.columns)
+    return passing(docs, lambda some: decontaminate.find_leaks(some, table(spark, sf_dir, "benchmark")).filter("n_hit = 0"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
