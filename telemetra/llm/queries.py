@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetra.llm import decontaminate, langid, licenses, mixing, order_minhash, quality, simhash, token_counts, toxicity, url_filter
+from telemetra.llm import (
+    decontaminate,
+    hidden_markov,
+    langid,
+    licenses,
+    mixing,
+    order_minhash,
+    quality,
+    simhash,
+    spelling,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from telemetra.llm.common import remainder, table, tokenizer_path
+from telemetra.operators.scale import join_groups
+from telemetra.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,3 +185,58 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Fingerprints of every document, an edited copy and the next document."""
     return order_minhash.fingerprints_with_edits(table(spark, sf_dir, "documents"))
+
+
+def without_a_letter(doc_id: str, word: bytes) -> bytes:
+    """The word, or for one in 97 the word without the letter that a hash of document and word names."""
+    h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), zlib.crc32(f"{doc_id}:".encode()))
+    if h % 97:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+@query("op11_spelling_variants")
+def op11(spark, sf_dir):
+    """Every word of all documents, with its near words' number, its form and root."""
+    return spelling.with_forms(spelling.count_words(table(spark, sf_dir, "documents"), edit=without_a_letter))
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    near = "SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT r, part, entry, sum((x - c) * (x - c)) AS d FROM parts JOIN book{k} USING (part, pos) GROUP BY r, part, entry) GROUP BY r, part"
+    means = "SELECT part, entry, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m FROM parts JOIN near{k} USING (r, part) GROUP BY part, entry, pos"
+    steps = [
+        f"near{k} AS MATERIALIZED ({near.format(k=k)}),\nbook{k + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce(m, c) AS c FROM book{k} LEFT JOIN ({means.format(k=k)}) USING (part, entry, pos))"
+        for k in range(rounds)
+    ]
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, (i - 1) // (n // {parts}) AS part, (i - 1) % (n // {parts}) AS pos, CAST(floor({vector_codes.SCALE} * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, embedding, len(embedding) AS n, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, pos, x AS c FROM parts WHERE r <= {entries}),
+{("," + chr(10)).join(steps)},
+last AS MATERIALIZED ({near.format(k=rounds)}),
+coded AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY r),
+rows AS (SELECT vec_id, label, code, error FROM kept JOIN coded USING (r)),
+labels_of AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM rows GROUP BY label)
+SELECT vec_id, code, error, label_error, (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM rows JOIN labels_of ON rows.label IS NOT DISTINCT FROM labels_of.label"""
+
+
+@query("op12_vector_codes", _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS))
+def op12(spark, sf_dir):
+    """Codes of all vectors, with their errors and those of their labels."""
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.train(vectors)
+    coded = stage(vector_codes.encode(vectors, books, keep=["vec_id", "label"]))
+    sums = stage(coded.groupBy("label").agg(F.sum("error").alias("label_error")))
+    whole = join_groups(coded, sums, ["label"], sums.count())
+    return whole.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@query("op13_language_model")
+def op13(spark, sf_dir):
+    """Log-probability of every document by the hidden Markov model and by frequencies, learnt from those not held out."""
+    held = held_out(7, 2)
+    return hidden_markov.language_scores(table(spark, sf_dir, "documents").withColumn("held_out", held), ~held, keep=["doc_id", "held_out"])

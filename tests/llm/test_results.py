@@ -39,7 +39,7 @@ def test_sql(spark, name):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= entry.queries().keys()
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
 
 
 def plain_fingerprint(text):
