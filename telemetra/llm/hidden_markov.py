@@ -26,8 +26,9 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -39,14 +40,16 @@ from telemetra.sources.staging import stage
 
 STATES, ROUNDS = 8, 4
 OWN, BUCKETS, ENDING = 4096, 1024, 3
-HEAD = 1 << 16
+HEAD = 1 << 17
 LONG_WORD = 64
 #: Pseudo-tokens of the overall frequencies that each state's emissions start from; pseudo-steps to each state.
 SMOOTH, SMOOTH_STEPS = 50.0, 1.0
 FIRST_TEXTS, FIRST_TOKENS, FIRST_ROUNDS = 400, 2048, 20
-SEGMENT = 256
+SEGMENT = 1024
 #: Tokens of the texts that are run side by side, and of the segments among them.
-RUN_TOKENS, SEGMENT_TOKENS = 1 << 21, 1 << 17
+RUN_TOKENS, SEGMENT_TOKENS = 1 << 23, 1 << 18
+#: Rows of emissions looked up at once.
+LOOKED_UP = 1 << 16
 #: Distinct words, and their bytes, that a task adds up before it hands them on.
 HELD, HELD_BYTES = 400_000, 32 << 20
 #: Expected counts are added up as whole numbers of this fraction, so that their order doesn't matter.
@@ -74,37 +77,55 @@ class Side:
         #: how many texts reach step t
         self.active = np.searchsorted(-self.lengths, -np.arange(longest + 1), side="left")
 
-    def at(self, t: int) -> np.ndarray:
-        return self.symbols[self.starts[: self.active[t]] + t]
+    def rows(self, table: np.ndarray, backwards: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+        """Each step t with the table's rows for its symbols; several steps are looked up at once, the more the fewer texts go on."""
+        steps = len(self.active) - 1
+        at = steps if backwards else 0
+        while at > 0 if backwards else at < steps:
+            # backwards more texts are met from step to step, so the span is chosen for those at its beginning
+            span = max(1, LOOKED_UP // max(self.active[max(at - 256, 0)] if backwards else self.active[at], 1))
+            low, high = (max(at - min(span, 256), 0), at) if backwards else (at, min(at + min(span, 256), steps))
+            n = self.active[low]
+            inside = np.minimum(np.arange(low, high)[:, None], self.lengths[:n] - 1)
+            found = table.take(self.symbols.take(self.starts[:n] + inside), axis=0)
+            for t in range(high - 1, low - 1, -1) if backwards else range(low, high):
+                yield t, found[t - low, : self.active[t]]
+            at = low if backwards else high
 
 
 def forward(model: Markov, side: Side, every: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
     """Natural logarithm of each text's likelihood, and the state probabilities after each ``every`` steps."""
-    found, kept = np.zeros(len(side.lengths)), []
-    state = np.zeros((0, len(model.first)))
-    for t in range(len(side.active) - 1):
-        n = side.active[t]
-        state = (model.first if t == 0 else state[:n] @ model.step) * model.emit[side.at(t)]
-        scale = state.sum(axis=1)
+    found, kept, ones = np.zeros(len(side.lengths)), [], np.ones(len(model.first))
+    state, scales = np.zeros((0, len(model.first))), np.ones(len(side.lengths))
+    for t, seen in side.rows(model.emit):
+        n = len(seen)
+        state = seen * (model.first if t == 0 else state[:n] @ model.step)
+        scale = state @ ones
         state /= scale[:, None]
-        found[:n] += np.log(scale)
+        scales[:n] *= scale
+        if t % 8 == 7:  # products of a few scales can't vanish
+            found += np.log(scales)
+            scales[:] = 1
         if every and t % every == every - 1:
             kept.append(state.copy())
-    return found, kept
+    return found + np.log(scales), kept
 
 
 def backward(model: Markov, side: Side, every: int) -> list[np.ndarray]:
     """Scaled backward values after each ``every`` steps."""
     states = len(model.first)
-    value = np.ones((len(side.lengths), states))
+    value, ones, back = np.ones((len(side.lengths), states)), np.ones(states), np.ascontiguousarray(model.step.T)
     kept = {}
-    for t in range(len(side.active) - 2, -1, -1):
-        if t + 2 < len(side.active):
-            n = side.active[t + 1]
-            on = (model.emit[side.at(t + 1)] * value[:n]) @ model.step.T
-            value[:n] = on / on.sum(axis=1)[:, None]
+    following = None  # emissions of the step after, of the texts that have one
+    for t, seen in side.rows(model.emit, backwards=True):
+        if following is not None:
+            n = len(following)
+            on = (following * value[:n]) @ back
+            on /= (on @ ones)[:, None]
+            value[:n] = on
         if t % every == every - 1:
-            kept[t // every] = value[: side.active[t]].copy()
+            kept[t // every] = value[: len(seen)].copy()
+        following = seen
     return [kept[k] for k in sorted(kept)]
 
 
@@ -118,62 +139,71 @@ class Expected(NamedTuple):
 
 
 def expected_counts(model: Markov, texts: Sequence[np.ndarray]) -> Expected:
-    """Exact expected counts of all texts."""
+    """Exact expected counts of all texts.
+
+    A text of up to ``SEGMENT`` tokens is one segment. Longer ones are run through forwards and backwards once, which
+    gives the values at the ends of their segments; then all segments are alike.
+    """
     states, symbols = len(model.first), len(model.emit)
-    first, step, emit = np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states))
-    side = Side(texts)
-    found, after = forward(model, side, SEGMENT)
-    beyond = backward(model, side, SEGMENT)
+    first, step, emit, likelihood = np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states)), 0.0
+    ones, back = np.ones(states), np.ascontiguousarray(model.step.T)
+    side, long = Side(texts), Side([t for t in texts if len(t) > SEGMENT])  # the long ones are the first of all
+    after, beyond = forward(model, long, SEGMENT)[1], backward(model, long, SEGMENT)
 
-    # one row for each segment: where it starts, its length, its text and its number in it
+    # one row for each segment: its length, its text and its number in it
     counts = -(-side.lengths // SEGMENT)
     text = np.repeat(np.arange(len(counts)), counts)
     number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
     length = np.minimum(SEGMENT, side.lengths[text] - number * SEGMENT)
     order = np.argsort(-length, kind="stable")
-    for some in np.array_split(order, max(1, -(-int(length.sum()) // SEGMENT_TOKENS))):
+    blocks = np.cumsum(length[order]) // SEGMENT_TOKENS
+    for some in np.split(order, np.flatnonzero(np.diff(blocks)) + 1):
         if not len(some):
             continue
         texts_of, numbers, lengths = text[some], number[some], length[some]
         starts = side.starts[texts_of] + numbers * SEGMENT
-        active = np.searchsorted(-lengths, -np.arange(lengths[0] + 1), side="left")
-        at = [side.symbols[starts[: active[t]] + t] for t in range(lengths[0])]
-        before = np.tile(model.first, (len(some), 1))  # state probabilities before the segment, for its first step
+        steps = int(lengths[0])
+        active = np.searchsorted(-lengths, -np.arange(steps + 1), side="left")
+        at = [slice(e - n, e) for n, e in zip(active[:-1], np.cumsum(active[:-1]))]
+        symbol = side.symbols[np.concatenate([starts[: active[t]] + t for t in range(steps)])]
+        seen = model.emit.take(symbol, axis=0)
+
         later = numbers > 0
+        before = np.tile(model.first, (len(some), 1))  # state probabilities before the segment, for its first step
+        value = np.ones((len(some), states))  # backward values at its end
+        ends = side.lengths[texts_of] > (numbers + 1) * SEGMENT
         for k in np.unique(numbers[later]):
             of = numbers == k
             before[of] = after[k - 1][texts_of[of]]
-        value = np.ones((len(some), states))  # at the end of the segment
-        ends = side.lengths[texts_of] > (numbers + 1) * SEGMENT
         for k in np.unique(numbers[ends]):
             of = ends & (numbers == k)
             value[of] = beyond[k][texts_of[of]]
 
-        steps = [np.where(later[:, None], before @ model.step, before)]
-        state = [None] * lengths[0]
-        for t in range(lengths[0]):
-            now = steps[t][: active[t]] * model.emit[at[t]]
-            state[t] = now / now.sum(axis=1)[:, None]
-            if t + 1 < lengths[0]:
-                steps.append(state[t][: active[t + 1]] @ model.step)
-        share = [None] * lengths[0]
-        for t in range(lengths[0] - 1, -1, -1):
-            n = active[t]
-            seen = model.emit[at[t]] * value[:n]
-            whole = (steps[t][:n] * seen).sum(axis=1)[:, None]
-            seen /= whole
-            share[t] = steps[t][:n] * seen
+        prior, state = np.empty_like(seen), np.empty_like(seen)
+        prior[at[0]] = np.where(later[:, None], before @ model.step, before)
+        for t, now in enumerate(at):
             if t:
-                step += state[t - 1][:n].T @ seen
-            else:
-                step += before[later].T @ seen[later]
-                first += share[0][~later].sum(axis=0)
-            on = seen @ model.step.T
-            value[:n] = on / on.sum(axis=1)[:, None]
-        symbol, weight = np.concatenate(at), np.concatenate(share)
+                np.matmul(state[at[t - 1]][: active[t]], model.step, out=prior[now])
+            np.multiply(prior[now], seen[now], out=state[now])
+            scale = state[now] @ ones
+            state[now] /= scale[:, None]
+            likelihood += float(np.log(scale).sum())
+        for t in range(steps - 1, -1, -1):
+            now, n = at[t], active[t]
+            here = seen[now]
+            here *= value[:n]
+            here /= ((prior[now] * here) @ ones)[:, None]
+            if t:
+                step += state[at[t - 1]][:n].T @ here
+                on = here @ back
+                on /= (on @ ones)[:, None]
+                value[:n] = on
+        step += before[later].T @ seen[at[0]][later]
+        prior *= seen  # the probability of each state at each step
+        first += prior[at[0]][~later].sum(axis=0)
         for s in range(states):
-            emit[:, s] += np.bincount(symbol, weights=weight[:, s], minlength=symbols)
-    return Expected(first, step * model.step, emit, float(found.sum()))
+            emit[:, s] += np.bincount(symbol, weights=prior[:, s], minlength=symbols)
+    return Expected(first, step * model.step, emit, likelihood)
 
 
 def improved(model: Markov, counts: Expected, overall: np.ndarray) -> Markov:
@@ -296,54 +326,56 @@ def encoded(docs: DataFrame, learn: Column, vocabulary: Vocabulary, keep: Sequen
     end_log = math.log10(vocabulary.ends + 1)
     log_count, in_bucket, ends = vocabulary.log_count, vocabulary.in_bucket, vocabulary.ends
 
-    class Places(dict):
-        """Place of a frequent word among them; for another, ``size`` and its bucket."""
-
-        def __missing__(self, word: bytes) -> int:
-            if len(word) > LONG_WORD and (place := self.get(_key(word))) is not None:
-                return place
-            return size + _bucket(word)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places({w: i for i, w in enumerate(words)})
-        bucket_of = np.concatenate([[_bucket(w) for w in words], np.arange(BUCKETS)]).astype(np.int64)
-        symbol = np.where(np.arange(size + BUCKETS) < own, np.arange(size + BUCKETS) + 1, own + 1 + bucket_of).astype(np.uint16)
-        logs = np.concatenate([log_count, np.zeros(BUCKETS)])
-        shares = np.where(np.arange(size + BUCKETS) < own, 0.0, logs - in_bucket[bucket_of])
-        long_words = {i for i, w in enumerate(words) if w.startswith(b" ") and i >= own}
+        place_of = {w: i for i, w in enumerate(words)}
+        bucket_of = np.array([_bucket(w) for w in words], np.int64)
+        symbol = np.where(np.arange(size) < own, np.arange(size) + 1, own + 1 + bucket_of)
+        share = np.where(np.arange(size) < own, 0.0, log_count - in_bucket[bucket_of])
         for batch in batches:
             for piece in pieces(batch, "text"):
-                columns = {name: [] for name in ("n_tokens", "symbols", "n_head", "log_counts", "in_buckets", "tail")}
-                for whole in piece.column("text").to_pylist():
-                    tokens = _tokens(whole)
-                    place = np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens))
-                    found, share = symbol[place], shares[place]
-                    rest = np.flatnonzero(place >= size)
-                    if long_words:  # their digests don't tell their endings
-                        for i in np.flatnonzero(np.isin(place, list(long_words))):
-                            b = _bucket(tokens[i])
-                            found[i], share[i] = own + 1 + b, logs[place[i]] - in_bucket[b]
-                    columns["n_tokens"].append(len(tokens) + 1)
-                    columns["symbols"].append(np.append(found, np.uint16(0)).tobytes())
-                    columns["n_head"].append(len(tokens) - len(rest) + (ends > 0))
-                    columns["log_counts"].append(float(logs[place].sum()) + end_log)
-                    columns["in_buckets"].append(float(share.sum()))
-                    columns["tail"].append([(_key(w).decode(), n) for w, n in Counter([tokens[i] for i in rest]).items()])
-                arrays = [piece.column(f.name) for f in kept] + [piece.column("row"), piece.column("learn")]
-                pairs = [len(t) for t in columns["tail"]]
+                texts = [_tokens(text) for text in piece.column("text").to_pylist()]
+                lengths = np.array([len(t) for t in texts], np.int64)
+                tokens = [w for t in texts for w in t]
+                of = np.repeat(np.arange(len(texts)), lengths)
+                place = np.fromiter(map(place_of.get, tokens, repeat(-1)), np.int64, len(tokens))
+                common = place >= 0
+                symbols, logs, shares = np.zeros(len(tokens), np.int64), np.zeros(len(tokens)), np.zeros(len(tokens))
+                symbols[common], logs[common], shares[common] = symbol[place[common]], log_count[place[common]], share[place[common]]
+
+                # other words: numbered, so that each distinct one is looked at once
+                number: defaultdict[bytes, int] = defaultdict()
+                number.default_factory = number.__len__
+                rest = np.flatnonzero(~common)
+                ids = np.fromiter(map(number.__getitem__, [tokens[i] for i in rest]), np.int64, len(rest))
+                keys = [_key(w) for w in number]
+                bucket = np.array([_bucket(w) for w in number], np.int64)
+                known = np.array([place_of.get(k, -1) if len(w) > LONG_WORD else -1 for w, k in zip(number, keys)], np.int64)
+                log = np.where(known >= 0, np.append(log_count, 0.0)[known], 0.0)
+                own_word = (known >= 0) & (known < own)
+                symbols[rest] = np.where(own_word, known + 1, own + 1 + bucket)[ids]
+                logs[rest], shares[rest] = log[ids], np.where(own_word, 0.0, log - in_bucket[bucket])[ids]
+                joined = known[ids] < 0
+                pairs, times = np.unique(of[rest[joined]] * len(number) + ids[joined], return_counts=True)
+                tail_row, tail_id = np.divmod(pairs, max(len(number), 1))
                 tail = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(pairs)]), pa.int32()),
-                    pa.StructArray.from_arrays(
-                        [pa.array([w for t in columns["tail"] for w, _ in t], pa.string()), pa.array([n for t in columns["tail"] for _, n in t], pa.int64())],
-                        names=["word", "n"],
-                    ),
+                    pa.array(np.searchsorted(tail_row, np.arange(len(texts) + 1)), pa.int32()),
+                    pa.StructArray.from_arrays([pa.array(keys, pa.binary()).cast(pa.string()).take(pa.array(tail_id)), pa.array(times, pa.int64())], names=["word", "n"]),
                 )
-                arrays += [
-                    pa.array(columns["n_tokens"], pa.int64()),
-                    pa.array(columns["symbols"], pa.binary()),
-                    pa.array(columns["n_head"], pa.int64()),
-                    pa.array(columns["log_counts"], pa.float64()),
-                    pa.array(columns["in_buckets"], pa.float64()),
+
+                with_ends = np.zeros(len(tokens) + len(texts), np.uint16)
+                with_ends[np.arange(len(tokens)) + of] = symbols
+                offsets = np.append(0, np.cumsum(2 * (lengths + 1))).astype(np.int32)
+                total = lambda values: np.bincount(of, values, len(texts)).astype(float)
+                n_rest = np.bincount(of[rest[joined]], minlength=len(texts))
+                arrays = [
+                    *[piece.column(f.name) for f in kept],
+                    piece.column("row"),
+                    piece.column("learn"),
+                    pa.array(lengths + 1),
+                    pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(with_ends.tobytes())]),
+                    pa.array(lengths - n_rest + (ends > 0)),
+                    pa.array(total(logs) + end_log),
+                    pa.array(total(shares)),
                     tail,
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
