@@ -5,7 +5,9 @@ with a threshold t_i of its own (-1: unused). If the thresholds add up to ``dist
 two fingerprints within ``distance`` are within t_i in some part i, so probing every part's
 exact index with all keys within t_i finds every such pair; each is then verified on all bits.
 Correlated bits share a part, and dynamic programming picks the thresholds of least estimated
-probes and candidates. Statistics cover all fingerprints; they steer cost, never results.
+probes and candidates; so is the number of parts, which falls as fingerprints grow in number: three for
+some 1e5, two from some 1e8 on, where keys of 32 bits keep candidates near linear. Statistics cover all
+fingerprints; they steer cost, never results.
 
 NULL and empty texts have fingerprint zero and are linked like any other. Equal texts and
 repeated rows share a fingerprint, so copies meet in one row before any search. Rows with a NULL
@@ -122,15 +124,15 @@ def allocate(cost: list[list[float]], total: int) -> list[int]:
     return best[total][1]
 
 
-def estimate(n: int, ones: np.ndarray, group: list[int], same: int, most: int) -> list[float]:
-    """Probes plus candidates of a part for thresholds -1..most: independent bits, scaled to the pairs counted as equal."""
+def estimate(n: int, ones: np.ndarray, group: list[int], same: int | None, most: int) -> list[float]:
+    """Probes plus candidates of a part for thresholds -1..most: independent bits, scaled to the pairs counted as equal, if they are."""
     pairs = n * (n - 1) / 2
     chance = np.zeros(most + 1)
     chance[0] = 1.0
     for p in 2 * ones[group] * (1 - ones[group]):
         chance[1:] = chance[1:] * (1 - p) + chance[:-1] * p
         chance[0] *= 1 - p
-    scale = (same + 1) / (pairs * chance[0] + 1)
+    scale = 1.0 if same is None else (same + 1) / (pairs * chance[0] + 1)
     within = np.minimum(np.cumsum(chance) * pairs * scale, pairs)
     probes = np.cumsum([comb(len(group), t) for t in range(most + 1)]) * n
     return [0.0, *(within + probes).tolist()]
@@ -141,9 +143,24 @@ def signed(value: int) -> int:
     return (value + (1 << BITS - 1)) % (1 << BITS) - (1 << BITS - 1)
 
 
-def plan_search(distinct: DataFrame, within: int, parts: int) -> list[tuple[int, list[int]]]:
+def choose_parts(n: int, ones: np.ndarray, correlation: np.ndarray, within: int) -> int:
+    """The number of parts with the least estimated probes and candidates of ``n`` fingerprints.
+
+    Few parts have long keys, which many fingerprints need, and wide thresholds, which cost probes; more parts the reverse.
+    """
+
+    def least_cost(parts: int) -> float:
+        groups = group_bits(correlation, parts)
+        cost = [estimate(n, ones, g, None, within) for g in groups]
+        return sum(c[t + 1] for c, t in zip(cost, allocate(cost, within - parts + 1)))
+
+    return min(range(1, within + 2), key=least_cost)
+
+
+def plan_search(distinct: DataFrame, within: int, parts: int | None) -> list[tuple[int, list[int]]]:
     """For each part in use its mask, and the masks of up to t_i bits to flip."""
     n, ones, correlation = bit_statistics(distinct)
+    parts = choose_parts(n, ones, correlation, within) if parts is None else parts
     groups = group_bits(correlation, parts)
     masks = [sum(1 << b for b in g) for g in groups]
     keyed = distinct.select(F.explode(keys(masks)).alias("k")).select("k.*").groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"))
@@ -169,7 +186,7 @@ def probes(fingerprint: Column, search: list[tuple[int, list[int]]]) -> Column:
     return F.concat(*[of_part(i, mask, flips) for i, (mask, flips) in enumerate(search)])
 
 
-def links(distinct: DataFrame, within: int, parts: int) -> DataFrame:
+def links(distinct: DataFrame, within: int, parts: int | None = None) -> DataFrame:
     """Pairs (``a``, ``b``) of fingerprints that connect all that are within the distance.
 
     ``distinct`` has one row for each ``simhash`` and is written out. Every pair across ordinary
@@ -216,7 +233,7 @@ def links(distinct: DataFrame, within: int, parts: int) -> DataFrame:
     return starred.unionByName(found.select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, within: int = 4, parts: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, within: int = 4, parts: int | None = None) -> DataFrame:
     """``doc_id``, ``text_hash``, ``simhash``, ``group`` and ``component_id`` (smallest id of the group), one row per document."""
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     narrow = stage(fingerprints(hashed, shingle, keep=["doc_id", "text_hash"]))
@@ -228,7 +245,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, within: int = 4, parts: i
     return narrow.join(classes, "simhash")
 
 
-def keep_first(docs: DataFrame, shingle: int = 4, within: int = 4, parts: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = 4, within: int = 4, parts: int | None = None) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id, of the smallest text hash if the id repeats; NULL ids come last."""
     found = near_duplicates(docs, shingle, within, parts)
     place = [F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("text_hash")]
