@@ -4,17 +4,20 @@
    tasks add up how often each occurs, and a shuffle makes one row of each distinct pre-token.
 2. The model splits each distinct pre-token once; only the number of its pieces is kept.
 3. Each document's pre-token frequencies meet those numbers and are added up: the ``HEAD`` most
-   frequent pre-tokens (a fixed bound on entries and on their length) by a broadcast map, before
-   the shuffle, all others by an equi-join on the pre-token. Hot pre-tokens are thus never
+   frequent pre-tokens (a fixed bound on entries; of those of over ``KEY_LENGTH`` characters the
+   SHA-256 stands for them) by a broadcast map, before
+   the shuffle, all others by an equi-join on the pre-token. Hot pre-tokens, long ones too, are thus never
    shuffled, and no ids are made.
 
 Special strings inside texts are one token each, which is the library's default. NULL
 texts count as empty: 0 bytes, 0 tokens. Repeated rows are all returned, each with its own
-count. Empty tables give empty results.
+count. Empty tables give empty results. Of the input the id and the text are read; other columns, clashing names
+too, are neither used nor returned.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections import Counter
@@ -30,7 +33,7 @@ from telemetra.llm.common import pieces
 from telemetra.sources.staging import stage
 
 HEAD = 1 << 17
-HEAD_BYTES = 64
+KEY_LENGTH = 64
 #: Words whose pre-tokens a task remembers; distinct words it adds up before it hands them on.
 REMEMBERED, HELD = 250_000, 400_000
 #: The first combining mark.
@@ -115,13 +118,18 @@ def cutter(path: str) -> Cutter:
     return _cutters[path]
 
 
+def key_of(pre_token: str) -> str:
+    """The pre-token, or for a long one a string that is longer than any kept as it is."""
+    return pre_token if len(pre_token) <= KEY_LENGTH else f"#{hashlib.sha256(pre_token.encode()).hexdigest()}"
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield from pieces(batch, "text")
 
 
 def vocabulary(docs: DataFrame, path: str) -> DataFrame:
-    """Every distinct ``pre_token`` with ``n`` (occurrences in all texts) and ``pieces`` (tokens it becomes)."""
+    """Every distinct pre-token's ``key`` with ``n`` (occurrences in all texts) and ``pieces`` (tokens it becomes)."""
 
     def out(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pre_token", "n"])
@@ -149,11 +157,12 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
     def split(batches):
         cut = cutter(path)
         for batch in batches:
-            sizes = [cut.pieces(p) for p in batch.column("pre_token").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("pre_token"), batch.column("n"), pa.array(sizes, pa.int64())], names=["pre_token", "n", "pieces"])
+            distinct = batch.column("pre_token").to_pylist()
+            arrays = [pa.array([key_of(p) for p in distinct], pa.string()), batch.column("n"), pa.array([cut.pieces(p) for p in distinct], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "pieces"])
 
     distinct = docs.select(F.col("text").cast("string")).mapInArrow(frequencies, "pre_token STRING, n LONG").groupBy("pre_token").agg(F.sum("n").alias("n"))
-    return distinct.mapInArrow(split, "pre_token STRING, n LONG, pieces LONG")
+    return distinct.mapInArrow(split, "key STRING, n LONG, pieces LONG")
 
 
 def most_frequent(counted: DataFrame) -> DataFrame:
@@ -164,15 +173,15 @@ def most_frequent(counted: DataFrame) -> DataFrame:
         if row["count"] > room:
             break
         room, least = room - row["count"], row["level"]
-    return counted.filter(F.lit(False) if least is None else level >= least).select("pre_token", "pieces")
+    return counted.filter(F.lit(False) if least is None else level >= least).select("key", "pieces")
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit``, one row per document."""
     spark = docs.sparkSession
     pieces_of = stage(vocabulary(docs, path))
-    head = most_frequent(pieces_of.filter(F.octet_length("pre_token") <= HEAD_BYTES)).toPandas()
-    shared = spark.sparkContext.broadcast(dict(zip(head["pre_token"].tolist(), head["pieces"].tolist())))
+    head = most_frequent(pieces_of).toPandas()
+    shared = spark.sparkContext.broadcast(dict(zip(head["key"].tolist(), head["pieces"].tolist())))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def frequencies(batches):
@@ -182,6 +191,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str =
 
         def learn(words: list[str]) -> None:
             for word, tokens in zip(words, cut.cut(words)):
+                tokens = [key_of(p) for p in tokens]
                 known[word] = sum(head.get(p, 0) for p in tokens), tuple(p for p in tokens if p not in head)
 
         for piece in _texts(batches):
@@ -198,7 +208,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str =
                     here += size * n
                     for p in other:
                         unknown[p] += n
-                for p in others:
+                for p in map(key_of, others):
                     if p in head:
                         here += head[p]
                     else:
@@ -211,7 +221,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str =
             kept = [piece.column(c).take(at) for c in ("doc_id", "row_hash", "n_bytes")]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(tokens, pa.int64()), pa.array(rest, pa.string()), pa.array(times, pa.int64())],
-                names=["doc_id", "row_hash", "n_bytes", "tokens", "pre_token", "times"],
+                names=["doc_id", "row_hash", "n_bytes", "tokens", "key", "times"],
             )
 
     rows = docs.select(
@@ -219,11 +229,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str =
         F.xxhash64("text").alias("row_hash"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.col("text").cast("string").alias("text"),
-    ).mapInArrow(frequencies, f"doc_id {kind}, row_hash LONG, n_bytes LONG, tokens LONG, pre_token STRING, times LONG")
+    ).mapInArrow(frequencies, f"doc_id {kind}, row_hash LONG, n_bytes LONG, tokens LONG, key STRING, times LONG")
     rows = stage(rows)
     key = ["doc_id", "row_hash", "n_bytes"]
-    others = rows.filter("pre_token IS NOT NULL").select(*key, "pre_token", "times").join(pieces_of.select("pre_token", "pieces"), "pre_token")
-    known = rows.filter("pre_token IS NULL").select(*key, "tokens", F.lit(1).alias("copies"))
+    others = rows.filter("key IS NOT NULL").select(*key, "key", "times").join(pieces_of.select("key", "pieces"), "key")
+    known = rows.filter("key IS NULL").select(*key, "tokens", F.lit(1).alias("copies"))
     total = known.unionByName(others.select(*key, (F.col("times") * F.col("pieces")).alias("tokens"), F.lit(0).alias("copies")))
     # Rows alike in id and text add up together: each has its share.
     summed = total.groupBy(*key).agg(F.sum("tokens").alias("tokens"), F.sum("copies").alias("copies"))
