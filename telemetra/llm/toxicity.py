@@ -1,15 +1,18 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word is an input of two parts, both hashed and learnt: a vector of the word itself, and the mean of
-the vectors of its character n-grams (3 and 5 bytes, with marks for both ends). The network reads windows of ``WINDOW`` words, which
+the vectors of its character n-grams (3 and 5 bytes, with marks for both ends). Words are runs of letters and digits; of scripts
+that are written without spaces (Chinese, Japanese, Thai and others) each character is one. The network reads windows of ``WINDOW`` words, which
 overlap by half and together cover the whole text; attention pools the states of
 both directions, and a logistic unit scores the window. A text's score is that of its highest
 window, calibrated by logistic regression.
 
-Only texts are labelled, not windows. Training starts with every sampled window bearing its text's label, then
-keeps of toxic texts the windows scored highest, and of others those that score wrongly high and a
-random share. It is fitted to a bounded sample: ``TRAIN_TOXIC`` and ``TRAIN_OTHER`` documents first in the
-order of a hash, at most ``TRAIN_WINDOWS`` windows of each, taken by hash. Scoring reads all windows of
+Only texts are labelled, not windows. The sample to learn from is a bounded number of documents, ``TRAIN_TOXIC`` and
+``TRAIN_OTHER`` first in the order of a hash. Training starts with ``FIRST_WINDOWS`` random distinct windows of each, bearing its text's label.
+Then, in ``LOOKS`` rounds, tasks score all windows of all these documents with the network so far and return of each the
+highest two and ``MORE_WINDOWS`` random ones; of toxic texts the highest are learnt, and of others those that score wrongly high and a
+random share. So no window is beyond what is learnt, and the driver holds a few windows of each document. The calibration
+takes each document's highest window of all. Scoring reads all windows of
 every text. NULL and empty texts, and those without letters or digits, score as one empty window.
 Without both kinds of labels the score is the share of toxic labels (0.5 without any). Repeated rows score alike,
 empty tables give empty results, columns named like an added one are replaced.
@@ -17,7 +20,9 @@ empty tables give empty results, columns named like an added one are replaced.
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +30,33 @@ from pyspark.sql import DataFrame, functions as F
 
 from telemetra.llm.common import WORDS_ONLY, map_texts
 from telemetra.llm.quality import labelled_sample
+from telemetra.sources.staging import stage
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, WORD_SIZE = 1 << 14, 10
 GRAM_BITS, GRAM_SIZE, GRAMS = 14, 6, (3, 5)
 GRAM_BUCKETS = 1 << GRAM_BITS
 HIDDEN = 8
-TRAIN_TOXIC, TRAIN_OTHER, TRAIN_WINDOWS = 1600, 2400, 24
+TRAIN_TOXIC, TRAIN_OTHER = 1600, 2400
+FIRST_WINDOWS, MORE_WINDOWS = 24, 4
+#: Epochs before which all windows of the sample are looked at.
+LOOKS = (1, 3, 5)
 #: Windows scored at once, and distinct words whose inputs a task remembers.
 CHUNK, REMEMBERED = 2048, 150_000
 
 
+#: A character of a script without spaces, in UTF-8. Thai, Lao, Myanmar, Khmer, kana, Chinese characters and what goes with them.
+UNSPACED = re.compile(
+    rb"\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xe2[\xba-\xbf][\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}"
+    rb"|\xea[\x80-\x93][\x80-\xbf]|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xbf][\x80-\xbf]{2}"
+)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(WORDS_ONLY).split()
+    text = (text or b"").translate(WORDS_ONLY)
+    if not text.isascii():
+        text = UNSPACED.sub(rb" \g<0> ", text)
+    return text.split()
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -234,31 +253,57 @@ class Adam:
             self.p[k] -= rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-7)
 
 
-def fit(documents: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 8, batch: int = 128, least_steps: int = 48) -> Network:
-    """``documents``: the sampled windows (lists of words) of each. An epoch repeats its windows up to ``least_steps`` batches."""
+#: Takes the network and a round, returns more windows of each document.
+Look = Callable[["Network", int], list[list[list[bytes]]]]
+
+
+class Pool:
+    """The windows learnt from: their words by number, and the document of each; none twice."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.ids, self.of = np.zeros((0, WINDOW), np.int64), np.zeros(0, np.int64)
+        self.seen: set[tuple[int, bytes]] = set()
+
+    def add(self, documents: list[list[list[bytes]]]) -> None:
+        rows, of = [], []
+        for at, windows in enumerate(documents):
+            for window in windows:
+                row = np.zeros(WINDOW, np.int64)
+                row[: len(window)] = [self.number.setdefault(w, len(self.number) + 1) for w in window]
+                if (key := (at, row.tobytes())) not in self.seen:
+                    self.seen.add(key)
+                    rows.append(row)
+                    of.append(at)
+        if rows:
+            of = np.concatenate([self.of, of])
+            order = np.argsort(of, kind="stable")
+            self.ids, self.of = np.concatenate([self.ids, rows])[order], of[order]
+        self.vocabulary = Vocabulary(list(self.number))
+
+    def logits(self, net: Network) -> np.ndarray:
+        return net.logits(self.ids, *net.gates(self.vocabulary.vectors(net, np.arange(len(self.number) + 1))))
+
+
+def fit(documents: list[list[list[bytes]]], labels: np.ndarray, look: Look | None = None, epochs: int = 8, batch: int = 128, least_steps: int = 48) -> Network:
+    """``documents``: the first windows (lists of words) of each. An epoch repeats its windows up to ``least_steps`` batches."""
     net = Network()
     if not len(labels) or labels.min() == labels.max():
         mean = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)) if len(labels) else 0.5
         net.slope, net.offset = 0.0, float(np.log(mean / (1 - mean)))
         return net
-    number: dict[bytes, int] = {}
-    of = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-    ids = np.zeros((len(of), WINDOW), np.int64)
-    for row, window in enumerate(w for d in documents for w in d):
-        ids[row, : len(window)] = [number.setdefault(w, len(number) + 1) for w in window]
-    vocabulary, label = Vocabulary(list(number)), labels[of].astype(np.float32)
-    adam, rng = Adam(net.p), np.random.default_rng(5)
-
-    def score_all() -> np.ndarray:
-        return net.logits(ids, *net.gates(vocabulary.vectors(net, np.arange(len(number) + 1))))
-
+    pool, adam, rng = Pool(), Adam(net.p), np.random.default_rng(5)
+    pool.add(documents)
     for epoch in range(epochs):
+        if look is not None and epoch in LOOKS:
+            pool.add(look(net, epoch))
+        of, label = pool.of, labels[pool.of].astype(np.float32)
         if epoch == 0:
             positive = np.flatnonzero(label == 1)
             negative = rng.permutation(np.flatnonzero(label == 0))[: 2 * len(positive)]
         else:
             adam.rate = 0.01 * 0.75**epoch
-            scores = score_all()
+            scores = pool.logits(net)
             order = np.lexsort((-scores, of))
             rank = np.empty(len(of), np.int64)
             rank[order] = np.arange(len(of)) - np.repeat(np.searchsorted(of, np.unique(of)), np.bincount(of)[np.unique(of)])
@@ -270,10 +315,7 @@ def fit(documents: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 8,
         chosen = np.concatenate([rng.permutation(chosen) for _ in range(-(-least_steps * batch // len(chosen)))])
         for at in range(0, len(chosen), batch):
             some = chosen[at : at + batch]
-            adam.step(net.gradients(ids[some], label[some], vocabulary, adam.t))
-    top = np.full(len(documents), -np.inf)
-    np.maximum.at(top, of, score_all())
-    net.slope, net.offset = calibrate(top, labels)
+            adam.step(net.gradients(pool.ids[some], label[some], pool.vocabulary, adam.t))
     return net
 
 
@@ -289,27 +331,65 @@ def calibrate(logit: np.ndarray, labels: np.ndarray, ridge: float = 0.01, steps:
     return float(max(w[0], 1e-3)), float(w[1])
 
 
+def distinct_windows(words: list[bytes]) -> list[bytes]:
+    """The text's different windows, in the order of the text."""
+    return list(dict.fromkeys(b" ".join(words[s : s + WINDOW]) for s in window_starts(len(words)).tolist()))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Network:
     """Fit to ``labels`` (``doc_id``, ``toxic``); the caller leaves out labels that must not be learnt."""
     picked = labelled_sample(docs, labels.filter("toxic = 1"), "toxic", TRAIN_TOXIC).unionByName(
         labelled_sample(docs, labels.filter("toxic = 0"), "toxic", TRAIN_OTHER)
     )
+    sample = stage(picked.select("doc_id", "__label__", "text", F.xxhash64("text").alias("text_hash")))
+    key = ["doc_id", "__label__", "text_hash"]
+    in_order = [F.xxhash64("doc_id"), *key]
 
-    def begin():
+    def first():
         def compute(texts):
-            out = []
-            for text in texts:
-                words = words_of(text)
-                windows = [b" ".join(words[s : s + WINDOW]) for s in window_starts(len(words)).tolist()]
-                out.append(sorted(windows, key=zlib.crc32)[:TRAIN_WINDOWS])
+            out = [sorted(distinct_windows(words_of(text)), key=zlib.crc32)[:FIRST_WINDOWS] for text in texts]
             return {"windows": pa.array(out, pa.list_(pa.binary()))}
 
         return compute
 
-    rows = map_texts(picked, begin, "windows ARRAY<BINARY>", keep=["doc_id", "__label__"], as_bytes=True)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "__label__", "windows").limit(TRAIN_TOXIC + TRAIN_OTHER).collect()
-    documents = [[bytes(w).split() for w in row["windows"]] for row in rows]
-    return fit(documents, np.array([float(row["__label__"]) for row in rows]))
+    rows = map_texts(sample, first, "windows ARRAY<BINARY>", keep=key, as_bytes=True).orderBy(*in_order).limit(TRAIN_TOXIC + TRAIN_OTHER).collect()
+    number = {k: i for i, k in enumerate(dict.fromkeys(tuple(row[k] for k in key) for row in rows))}  # rows alike in all are one text
+    labels_of, start = np.zeros(len(number)), [[] for _ in number]
+    for row in rows:
+        i = number[tuple(row[k] for k in key)]
+        labels_of[i], start[i] = row["__label__"], [bytes(w).split() for w in row["windows"]]
+
+    def highest(net: Network, round_: int) -> tuple[list[list[list[bytes]]], np.ndarray]:
+        """Of all windows of each document the two highest and a few others, and the highest score."""
+        shared = sample.sparkSession.sparkContext.broadcast(net)
+
+        def begin():
+            scorer = Scorer(shared.value)
+
+            def compute(texts):
+                logits, starts = scorer.windows(texts)
+                out, top = [], []
+                for text, scores, begins in zip(texts, logits, starts):
+                    words = words_of(text)
+                    window = lambda at: b" ".join(words[at : at + WINDOW])
+                    best = [window(begins[k]) for k in np.argsort(-scores, kind="stable")[:2]]
+                    others = sorted(range(len(begins)), key=lambda k: zlib.crc32(b"%d %d" % (round_, k)))[:MORE_WINDOWS]
+                    out.append(best + [window(begins[k]) for k in others])
+                    top.append(float(scores.max()))
+                return {"windows": pa.array(out, pa.list_(pa.binary())), "top": pa.array(top)}
+
+            return compute
+
+        found, tops = [[] for _ in number], np.zeros(len(number))
+        for row in map_texts(sample, begin, "windows ARRAY<BINARY>, top DOUBLE", keep=key, as_bytes=True).collect():  # a row for each learnt document
+            i = number[tuple(row[k] for k in key)]
+            found[i], tops[i] = [bytes(w).split() for w in row["windows"]], row["top"]
+        return found, tops
+
+    net = fit(start, labels_of, lambda net, epoch: highest(net, epoch)[0])
+    if len(labels_of) and labels_of.min() < labels_of.max():
+        net.slope, net.offset = calibrate(highest(net, 0)[1], labels_of)
+    return net
 
 
 class Scorer:
@@ -325,7 +405,8 @@ class Scorer:
         self.number.clear()
         self.gf, self.gb = self.net.gates(self.net.vectors([]))
 
-    def score(self, texts: list[bytes | None]) -> np.ndarray:
+    def windows(self, texts: list[bytes | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For each text the logits of its windows, and the windows' first words."""
         if len(self.number) > REMEMBERED:
             self.reset()
         number, known = self.number, len(self.number)
@@ -341,7 +422,10 @@ class Scorer:
         first, size = np.repeat(np.cumsum(lengths) - lengths, counts)[:, None], np.repeat(lengths, counts)[:, None]
         windows = np.where(inside < size, flat[np.minimum(first + inside, len(flat) - 1)], 0)
         logits = self.net.logits(windows, self.gf, self.gb)
-        top = np.maximum.reduceat(logits, np.cumsum(counts) - counts).astype(np.float64)
+        return np.split(logits, np.cumsum(counts)[:-1]), starts
+
+    def score(self, texts: list[bytes | None]) -> np.ndarray:
+        top = np.array([logits.max() for logits in self.windows(texts)[0]], np.float64)
         return sigmoid(np.clip(self.net.slope * top + self.net.offset, -60, 60))
 
 
