@@ -10,10 +10,12 @@ Hessian, which is diagonal as groups are disjoint; only the largest residual goe
 Rates then become copies: a document is taken ``floor(rate)`` times whole, and the fractions by
 sequential Poisson sampling: documents of a group in the order of (hash of the id / fraction)
 are taken once more until the target is met, so that the last one is cut short. The
-running sums come from ``BUCKETS`` slices of that order for each group, so a hot group is never in one task.
+running sums come from slices of that order, cut by its own quantiles and by row where rows are alike: neither a
+hot group nor ids that are NULL or repeat come into one task.
 
 NULL and empty texts have size 0 and are never taken. NULL is a group of its own, last in
-order. Ids that repeat or are NULL are told apart by size; equal rows are interchangeable.
+order. Ids that repeat or are NULL are told apart by size; equal rows are interchangeable. Multipliers that don't settle
+in ``MOST_STEPS`` steps raise an error.
 Empty tables give empty results; other columns aren't used. DataFrame functions only.
 """
 
@@ -23,10 +25,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetra.sources.staging import stage
+from telemetra.sources.staging import stage, stage_in_order
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKETS = 1024
 MOST_STEPS = 100
 TOLERANCE = 1e-10
 
@@ -92,6 +93,8 @@ def balance(cells: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         if state.filter("NOT done").isEmpty():
             break
         state = state.drop("done")
+    else:
+        raise RuntimeError("multipliers did not settle")
     return state.select("source", "multiplier")
 
 
@@ -119,26 +122,21 @@ def mix(
     fraction = F.when(F.col("size") > 0, F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))).otherwise(0.0)
     number = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
     key = F.when(fraction > 1e-9, number / fraction)
-    placed = rated.withColumn("key", key).withColumn("bucket", F.floor(BUCKETS * F.col("key") / (1 + F.col("key"))).cast("int"))
-    placed = stage(placed.select("doc_id", "size", "source", "source_size", "target", "rate", "whole", "key", "bucket"))
+    placed = stage(rated.withColumn("key", key).select("doc_id", "size", "source", "source_size", "target", "rate", "whole", "key"))
 
     # What is still to be taken of each group, and how much of it the slices before cover.
-    per_bucket = placed.groupBy("source", "bucket").agg(
-        F.sum(F.when(F.col("key").isNotNull(), F.col("size")).otherwise(0)).alias("inside"),
-        F.sum(F.col("whole") * F.col("size")).alias("fixed"),
-        F.max("target").alias("goal"),
-    )
-    of_source = Window.partitionBy("source")
-    ahead = of_source.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_bucket.select(
-        F.col("source").alias("s"),
-        F.col("bucket").alias("b"),
-        (F.round("goal").cast("long") - F.sum("fixed").over(of_source)).alias("open"),
-        F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("start"),
-    )
-    joined = placed.filter("key IS NOT NULL").join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sampled = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
+    opened = placed.groupBy("source").agg(F.max("target").alias("goal"), F.sum(F.col("whole") * F.col("size")).alias("fixed"))
+    opened = opened.select(F.col("source").alias("s"), (F.round("goal").cast("long") - F.col("fixed")).alias("open"))
+    rows = placed.filter("key IS NOT NULL").withColumn("_number", F.monotonically_increasing_id())  # of a written table: the same whenever it is read
+    order = ["key", "doc_id", "size", "_number"]
+    sliced = stage_in_order(rows, ["source", *order])
+    per_slice = sliced.groupBy("source", "_part").agg(F.sum("size").alias("inside"))
+    ahead = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_slice.select(F.col("source").alias("s"), F.col("_part").alias("p"), F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("start"))
+    starts = starts.join(opened.withColumnRenamed("s", "g"), F.col("s").eqNullSafe(F.col("g"))).drop("g")  # a row for each slice and group in it
+    joined = sliced.join(starts, (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
+    in_slice = Window.partitionBy("_part", "source").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    sampled = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(in_slice), F.lit(0)))
     more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("open") - F.col("before")))
     out = ["doc_id", "size", "source_size", "target", "rate"]
     taken = sampled.select(*out, (F.col("whole") * F.col("size") + more).alias("taken"))
