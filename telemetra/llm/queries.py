@@ -11,6 +11,7 @@ from telemetra.llm import (
     decontaminate,
     hidden_markov,
     langid,
+    license_texts,
     licenses,
     mixing,
     order_minhash,
@@ -134,15 +135,15 @@ def op7(spark, sf_dir):
     return langid.predict(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
 
 
-_NOTICES = ", ".join("('{}', '{}')".format(*n) for n in sorted(licenses.NOTICES.items()))
+_NOTICES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in sorted({**license_texts.NOTICES, **license_texts.TEXTS}.items()))
 LICENSE_SQL = f"""
 WITH notices(license_id, text) AS (VALUES {_NOTICES}),
-t AS (SELECT license_id, regexp_extract_all({LOWER.format("text")}, '{WORDS}') AS w FROM notices),
-wanted AS (SELECT DISTINCT license_id, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT license_id, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
+t AS (SELECT license_id, w, least(len(w), 5) AS width FROM (SELECT license_id, regexp_extract_all({LOWER.format("text")}, '{WORDS}') AS w FROM notices)),
+wanted AS (SELECT DISTINCT license_id, width, array_to_string(w[i : i + width - 1], ' ') AS gram FROM (SELECT license_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM t)),
 scales AS (SELECT license_id, count(*) AS n, CAST(2 ** ceil(log2(count(*))) AS BIGINT) AS scale FROM wanted GROUP BY license_id),
-d AS (SELECT doc_id, regexp_extract_all({LOWER.format("text")}, '{WORDS}') AS w FROM documents),
-grams AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
-placed AS (SELECT doc_id, license_id, n, scale, pos, gram FROM grams JOIN wanted USING (gram) JOIN scales USING (license_id)),
+d AS (SELECT doc_id, width, regexp_extract_all({LOWER.format("text")}, '{WORDS}') AS w FROM documents, (SELECT DISTINCT width FROM t)),
+grams AS (SELECT doc_id, width, i - 1 AS pos, array_to_string(w[i : i + width - 1], ' ') AS gram FROM (SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM d)),
+placed AS (SELECT doc_id, license_id, n, scale, pos, gram FROM grams JOIN wanted USING (width, gram) JOIN scales USING (license_id)),
 windows AS (SELECT *, (pos // scale - part) * scale AS start FROM placed, (VALUES (0), (1)) AS parts(part)),
 shares AS (SELECT doc_id, license_id, start, count(DISTINCT gram) / CAST(any_value(n) AS DOUBLE) AS containment, min(pos) AS position
   FROM windows WHERE start >= 0 GROUP BY doc_id, license_id, start)
@@ -177,7 +178,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM spl
 @query("op9_url_filter", URL_SQL)
 def op9(spark, sf_dir):
     """Verdict on the URL of every page."""
-    rules = spark.createDataFrame(URL_RULES, "host STRING, path STRING, verdict STRING")
+    rules = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), rule)]) for rule in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rules)))
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
