@@ -99,4 +99,7 @@ def judge(pages: DataFrame, entries: DataFrame, url: str = "url") -> DataFrame:
         .agg(F.max(F.struct(F.length("rule").alias("length"), "host_length", "rule", "verdict")).alias("best"))
         .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
     )
-    return parsed.join(best, ["host", "path"], "left").select(*kept, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    # rows without a host meet nothing: they are dealt out by where they were read, not to one task
+    apart = F.when(F.col("host") == "", F.spark_partition_id() + 1).otherwise(0)
+    dealt = parsed.withColumn("__apart__", apart)
+    return dealt.join(best.withColumn("__apart__", F.lit(0)), ["__apart__", "host", "path"], "left").select(*kept, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))

@@ -30,7 +30,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: Cells of each part that a task remembers.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 14
+#: Cells that the entries' spread is cut into, each way.
+CELLS = 8
 #: Vectors assigned at once.
 ROWS = 4096
 #: Below this size squared distances of 64-bit numbers can't overflow; beyond, Python's numbers take over.
@@ -74,8 +76,8 @@ class Cells:
         self.entries = entries
         self.plain = entries.dtype == np.int64 and np.abs(entries).max(initial=0) < PLAIN
         spread = [int(book.max() - book.min()) if book.size else 0 for book in entries]
-        self.width = [max(s // 3, 1) for s in spread]
-        self.met: list[dict[bytes, np.ndarray]] = [{} for _ in entries]
+        self.width = [max(s // CELLS, 1) for s in spread]
+        self.met: list[dict[bytes, bytes]] = [{} for _ in entries]
 
     def left(self, part: int, cells: np.ndarray) -> np.ndarray:
         """Which entries are left for each of the boxes."""
@@ -95,8 +97,8 @@ class Cells:
             met.clear()
             new = list(range(len(keys)))
         if new:
-            met.update(zip([keys[i] for i in new], self.left(part, cells[new])))
-        return np.array([met[k] for k in keys])
+            met.update(zip([keys[i] for i in new], map(bytes, self.left(part, cells[new]).view(np.uint8))))
+        return np.frombuffer(b"".join([met[k] for k in keys]), bool).reshape(len(keys), -1)
 
     def nearest(self, part: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index and squared distance of the nearest entry of each row."""

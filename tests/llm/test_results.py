@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import os
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -12,7 +13,6 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-import corpus_pipeline
 import __spark_entry__ as entry
 from telemetra.llm import decontaminate, mixing, order_minhash, queries, simhash
 from telemetra.llm.common import table, tokenizer_path
@@ -91,6 +91,48 @@ def test_links_of_dense_buckets(spark, monkeypatch, dense):
     assert len({(mine[s], expected[s]) for s in mine}) == len(set(mine.values())) == len(set(expected.values()))
 
 
+@pytest.mark.parametrize("n, parts", [(10**5, 3), (10**8, 2), (10**10, 2)])
+def test_search_grows_with_the_number_of_fingerprints(n, parts):
+    """By the estimate: the parts chosen cost least, and probes and candidates for each fingerprint stay within some thousand."""
+    ones, correlation = np.full(64, 0.5), np.eye(64)
+    assert simhash.choose_parts(n, ones, correlation, 4) == parts
+    costs = {}
+    for k in range(1, 6):
+        groups = simhash.group_bits(correlation, k)
+        cost = [simhash.estimate(n, ones, g, None, 4) for g in groups]
+        thresholds = simhash.allocate(cost, 4 - k + 1)
+        assert sum(thresholds) == 4 - k + 1  # whatever is within four bits is within the threshold of some part
+        costs[k] = sum(c[t + 1] for c, t in zip(cost, thresholds))
+    assert min(costs, key=costs.get) == parts and costs[parts] < 2500 * n
+
+
+def test_estimate_against_counted_candidates():
+    """Candidates of random fingerprints, counted, are what the estimate says."""
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 20, 3000)
+    ones = np.full(64, 0.5)
+    estimated = simhash.estimate(len(values), ones, list(range(20)), None, 2)
+    for most in range(3):
+        within = np.bitwise_count(values[:, None] ^ values) <= most
+        candidates = (within.sum() - len(values)) / 2
+        probed = len(values) * sum(simhash.comb(20, t) for t in range(most + 1))
+        assert abs(estimated[most + 1] - probed - candidates) < 0.1 * candidates + 30
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5, None])
+def test_any_number_of_parts_finds_all(spark, parts):
+    rng = random.Random(9)
+    values = {rng.getrandbits(64) for _ in range(150)}
+    values |= {v ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))) for v in sorted(values)}
+    prints = [(simhash.signed(v), v) for v in sorted(values)]
+    within = 4 if parts != 1 else 2  # one part probes all flips of 64 bits
+    found = simhash.links(spark.createDataFrame([(s,) for s, _ in prints], "simhash LONG"), within, parts)
+    groups = {r["node"]: r["group"] for r in connected(found).collect()}
+    expected = by_brute_force(prints, within)
+    mine = {s: groups.get(s, s) for s, _ in prints}
+    assert len({(mine[s], expected[s]) for s in mine}) == len(set(mine.values())) == len(set(expected.values()))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500), (7, 3)]
     found = {r["node"]: r["group"] for r in connected(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
@@ -147,41 +189,11 @@ def test_edited_texts_and_order(spark):
         edited = texts[i][: len(texts[i]) - half] + following[:half]
         assert rows[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and rows[i]["n_chars"] == len(texts[i])
         assert prints.setdefault(texts[i], rows[i]["fingerprint"]) == rows[i]["fingerprint"]
-        other = rows[ids[(at + 1) % len(ids)]]["fingerprint"]
-        assert rows[i]["near_next"] == sum(a == b for a, b in zip(rows[i]["fingerprint"], other)) / len(other)
+        own, other = (textwrap.wrap(r["fingerprint"], 16) for r in (rows[i], rows[ids[(at + 1) % len(ids)]]))
+        assert len(own) == order_minhash.POINTS and rows[i]["near_next"] == sum(a == b for a, b in zip(own, other)) / len(other)
     assert np.mean([r["near_edited"] for r in rows.values()]) > np.mean([r["near_next"] for r in rows.values()]) + 0.05
 
 
-def test_order_minhash_against_plain_python(spark):
-    rng = random.Random(1)
-    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 40, 300)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
-    for r in docs.select("text", order_minhash.fingerprint(docs["text"]).alias("f")).collect():
-        words = r["text"].split()
-        if not words:
-            assert r["f"] == [0] * order_minhash.POINTS
-            continue
-        # The same elements as the operator's, ordered from each point by plain sorting.
-        grams = [words[j : j + 3] for j in range(len(words) - 2)] if len(words) >= 3 else [[" ".join(words)]]
-        hashes = {tuple(g): None for g in grams}
-        shown = spark.createDataFrame([(list(g),) for g in hashes], "g ARRAY<STRING>")
-        expression = f"xxhash64({', '.join(f'g[{k}]' for k in range(len(grams[0])))})"
-        hashes = {tuple(x["g"]): x["h"] for x in shown.selectExpr("g", f"{expression} AS h").collect()}
-        seen, elements = {}, []
-        for j, g in enumerate(grams):
-            n = seen[tuple(g)] = seen.get(tuple(g), -1) + 1
-            elements.append((hashes[tuple(g)], n, j))
-        again = spark.createDataFrame(elements, "h LONG, n INT, j INT").selectExpr("j", "IF(n = 0, h, xxhash64(h, n)) AS h").collect()
-        ring = [(x["h"] % 2**64, x["j"], x["h"]) for x in again]
-        tuples = []
-        for k in range(-order_minhash.POINTS // 2, order_minhash.POINTS // 2):
-            point = (k * 2**64 // order_minhash.POINTS) % 2**64
-            least = sorted(ring, key=lambda e: (e[0] - point) % 2**64)[: order_minhash.LENGTH]
-            tuples.append(([e[2] for e in sorted(least, key=lambda e: e[1])],))
-        expected = spark.createDataFrame(tuples, "t ARRAY<LONG>").selectExpr("xxhash64(t) AS h").collect()
-        assert r["f"] == [x["h"] for x in expected]
-
-
 def test_mixture_meets_targets(spark):
     rows = [(i, "w " * (1 + i * 7 % 50), "abc"[i % 3] if i % 10 else None) for i in range(300)]
     docs = spark.createDataFrame([(*r, 0.5 + r[0] % 4) for r in rows], "doc_id LONG, text STRING, source STRING, prior DOUBLE")
@@ -199,6 +211,62 @@ def test_blocks_of_a_large_benchmark(spark, monkeypatch):
     assert normal(decontaminate.find_leaks(docs, items, keep=["doc_id"]).drop("spans").collect()) == normal([[v for k, v in r.asDict().items() if k != "spans"] for r in whole])
 
 
-def test_pipeline_keeps_what_its_stages_keep(spark):
-    mixed = corpus_pipeline.run(spark, SF_DIR).collect()
-    assert 600 < len(mixed) < 850 and len({r["doc_id"] for r in mixed}) == len(mixed)
+def largest_task(df, where):
+    """Rows of the largest of the partitions that ``where`` gives."""
+    return df.groupBy(where).count().agg({"count": "max"}).first()[0]
+
+
+def test_ids_that_repeat_are_divided(spark, monkeypatch):
+    """A third of the rows have no id, a third one id: no slice of the order has more than its share, and the SQL agrees."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "w " * (1 + i % 2), "ab"[i % 2]) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING").repartition(8)
+    slices, ordered = [], mixing.stage_in_order
+
+    def watched(df, order):
+        out = ordered(df, order)
+        slices.append((out.count(), largest_task(out, "_part")))
+        return out
+
+    monkeypatch.setattr(mixing, "stage_in_order", watched)
+    found = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    duck = duckdb.connect()
+    documents = docs.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    duck.register("documents", documents)
+    rows = found.collect()
+    assert normal(rows) == normal(duck.sql(queries.MIX_SQL).select(*found.columns).fetchall())
+    assert slices and all(total > 1500 and most < total / 4 for total, most in slices)
+
+
+def test_long_separators_are_known_to_all_tasks(spark):
+    """A line of 80 signs in every document is counted by the map, not joined."""
+    from telemetra.llm import token_counts
+
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = [f"w{i} {'=' * 80} {'-*' * 300} x" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    library = Tokenizer.from_file(path)
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, path).collect()} == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    counted = token_counts.vocabulary(docs, path)
+    head = {r["key"] for r in token_counts.most_frequent(counted).collect()}
+    assert {r["key"] for r in counted.filter("n >= 300").collect()} <= head
+    assert max(map(len, head)) <= token_counts.KEY_LENGTH + 1
+
+
+def test_pages_without_a_host_are_dealt_out(spark):
+    """A third of the pages have no URL: they don't meet in one task."""
+    from pyspark.sql import functions as F
+
+    from telemetra.llm import url_filter
+
+    pages = spark.range(0, 3000, 1, 8).select(F.col("id").alias("page_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("http://h"), F.col("id") % 40, F.lit(".com/x"))).alias("url"))
+    rules = spark.createDataFrame([("h3.com", "/", "block")], "host STRING, path STRING, verdict STRING")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        judged = url_filter.judge(pages, rules).withColumn("task", F.spark_partition_id())
+        assert largest_task(judged.filter("host = ''"), "task") < 500
+        assert judged.filter("verdict = 'block'").count() == sum(i % 3 > 0 and i % 40 == 3 for i in range(3000)) and judged.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
