@@ -11,6 +11,8 @@ from telemetra.operators.scale import GroupSizes, group_sizes, join_groups
 from telemetra.sources.staging import stage, stage_in_order
 
 IN_MEMORY_ROWS = 250_000
+#: Size of kept sketches, and how far a rank by them is trusted to be off: some twice their usual error.
+SKETCH_SIZE, SKETCH_MARGIN = 800, 0.01
 
 
 def exact_quantiles(
@@ -39,7 +41,36 @@ def exact_quantiles(
         return df.groupBy(*by).agg(F.percentile(number(value), wanted).alias("quantiles"))
 
     values = df.select(*by, number(value).alias("_value"))
-    brackets = stage(_brackets(values, by, probabilities, accuracy))
+    return _exactly(values, stage(_brackets(values, by, probabilities, accuracy)), by, probabilities)
+
+
+def quantiles_from_sketches(
+    df: DataFrame,
+    sketches: DataFrame,
+    by: Sequence[str],
+    probabilities: Sequence[float],
+    value: str = "value",
+    margin: float = SKETCH_MARGIN,
+) -> DataFrame:
+    """As :func:`exact_quantiles`, with one scan of ``df``: the brackets come from sketches kept of the same rows.
+
+    ``sketches`` has the ``by`` columns, ``numbers`` (how many are sketched) and ``sketch`` (KLL), any number of rows
+    for a group. A sketch that misses, or has counted other rows, costs another scan, never the result.
+    """
+    merged = sketches.groupBy(*by).agg(F.sum("numbers").alias("_rows"), F.kll_merge_agg_double("sketch").alias("_sketch"))
+    least = F.col("_rows") >= 4 / margin
+
+    def bound(probability: float) -> Column:
+        if not 0 < probability < 1:
+            return F.lit(None).cast("double")
+        return F.when(least, F.kll_sketch_get_quantile_double("_sketch", F.lit(probability)))
+
+    lows, highs = [bound(p - margin) for p in probabilities], [bound(p + margin) for p in probabilities]
+    brackets = stage(_entries(merged, by, probabilities, lows, highs))
+    return _exactly(df.select(*by, number(value).alias("_value")), brackets, by, probabilities)
+
+
+def _exactly(values: DataFrame, brackets: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     found = stage(_between_brackets(values, brackets, by))
     if not found.where("_found < _asked").isEmpty():  # the sketch missed: no bounds, sort everything
         brackets = stage(_brackets(values, by, probabilities, None))
@@ -127,7 +158,11 @@ def _brackets(values: DataFrame, by: Sequence[str], probabilities: Sequence[floa
             return F.lit(None).cast("double")
         return F.when(F.col("_rows") >= 4 * accuracy, F.col("_sketch")[next(found)])
 
-    low_bounds, high_bounds = [bound(p) for p in lows], [bound(p) for p in highs]
+    return _entries(sketch, by, probabilities, [bound(p) for p in lows], [bound(p) for p in highs])
+
+
+def _entries(sketch: DataFrame, by: Sequence[str], probabilities: Sequence[float], lows: list[Column], highs: list[Column]) -> DataFrame:
+    """Bounds and ranks of each probability, from a group's ``_rows``."""
     entries = []
     for i, p in enumerate(probabilities):
         position = F.lit(float(p)) * (F.col("_rows") - 1)
@@ -139,8 +174,8 @@ def _brackets(values: DataFrame, by: Sequence[str], probabilities: Sequence[floa
         entries.append(
             F.struct(
                 F.lit(i).alias("_p"),
-                low_bounds[i].alias("_low"),
-                high_bounds[i].alias("_high"),
+                lows[i].alias("_low"),
+                highs[i].alias("_high"),
                 F.filter(ranks, lambda rank: (rank["_at"] >= 0) & (rank["_weight"] > 0)).alias("_ranks"),
             )
         )

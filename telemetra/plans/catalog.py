@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.operators import alerts, features, quality, quantiles, replay, reports, scoring
+from telemetra.operators import alerts, features, quality, quantiles, replay, reports, rollups, scoring
 from telemetra.plans import jobs
 from telemetra.sources import csv_tree, messages, store
 from telemetra.sources.adapters import (
@@ -17,9 +17,11 @@ from telemetra.sources.adapters import (
     lineitem_as_readings,
     newest_time,
 )
-from telemetra.sources.staging import new_folder
+from telemetra.operators.ordered import with_position
+from telemetra.sources.staging import new_folder, stage_in_order
 from telemetra.streaming import queries as live
-from telemetra.streaming.sinks import aggregate_sink, alert_sink, raw_sink
+from telemetra.streaming.history import ROCKS_DB, STATE_STORE
+from telemetra.streaming.sinks import aggregate_sink, alert_sink, raw_sink, splitting_sink, store_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +149,13 @@ def a6_bracketed(spark, sf_dir):
     return quantile_columns(found)
 
 
+@query("A6_quantiles_of_store", QUANTILES_SQL)
+def a6_of_store(spark, sf_dir):
+    """From the sketches kept with a store of several batches."""
+    path = merged_store(spark, events_as_readings(spark, sf_dir))
+    return quantile_columns(rollups.stored_quantiles(spark, path, fixed.OUTLIER_QUANTILES))
+
+
 FLAGGED_SQL = """, bounds AS (
   SELECT sensor_type, quantile_cont(value, 0.01) AS low, quantile_cont(value, 0.99) AS high
   FROM readings GROUP BY sensor_type),
@@ -598,18 +607,22 @@ def s3(spark, sf_dir):
 
 
 CSV_SQL = """
-SELECT CAST(floor(epoch(event_time)) AS BIGINT) AS timestamp_unix, value, room_id, sensor_type,
-       'SDH_Building' AS building_id, date_trunc('second', event_time) AS event_time FROM readings"""
+SELECT floor(epoch(event_time)) + 0.25::DOUBLE * (event_id % 4) AS timestamp_unix, value, room_id, sensor_type, 'SDH_Building' AS building_id,
+       date_trunc('second', event_time) + INTERVAL 250 MILLISECONDS * (event_id % 4) AS event_time FROM readings"""
 
 
 def sensor_tree(spark: SparkSession, sf_dir: str) -> str:
-    """All readings as sensor files below building, room and sensor."""
+    """All readings as sensor files below building, room and sensor; seconds as whole numbers, with ``.0`` or a fraction."""
     readings = events_as_readings(spark, sf_dir)
     base = new_folder(spark, "tree")
     file_name = F.when(F.col("sensor_type") == "occupancy", "pir").otherwise(F.col("sensor_type"))
     (
         readings.select(
-            F.unix_seconds(F.col("event_time").cast("timestamp")).alias("timestamp_unix"),
+            F.concat(
+                F.unix_seconds(F.col("event_time").cast("timestamp")).cast("string"),
+                F.element_at(F.array(*[F.lit(x) for x in ("", ".25", ".50", ".75")]), (F.col("event_id") % 4 + 1).cast("int")),
+                F.when(F.col("event_id") % 8 == 0, ".0").otherwise(""),
+            ).alias("timestamp_unix"),
             "value",
             F.col("building_id").alias("building"),
             F.col("room_id").alias("room"),
@@ -759,6 +772,22 @@ def s5(spark, sf_dir):
     return store.read_store(spark, path).select("event_id", "event_time", "sensor_type", "value")
 
 
+@query(
+    "S11_empty_batches",
+    """, middle AS (SELECT min(event_time) + (max(event_time) - min(event_time)) / 2 AS m FROM readings)
+SELECT event_id, value, CASE WHEN event_time < m THEN 0 ELSE 2 END AS batch FROM readings, middle
+WHERE sensor_type = 'temperature' AND value > 25""",
+)
+def s11(spark, sf_dir):
+    """An empty batch between two others leaves nothing in the store."""
+    path = new_folder(spark, "alerts")
+    sink = alert_sink(path)
+    early, late = halves(events_as_readings(spark, sf_dir))
+    for number, batch in enumerate([early, early.limit(0), late]):
+        sink(alerts.filter_alerts(batch), number)
+    return store.read_store(spark, path).select("event_id", "value", F.col("spark_batch_id").cast("int").alias("batch"))
+
+
 UPSERT_SQL = f""", first AS (SELECT * FROM readings WHERE event_id % 2 = 0 OR building_id = 'B2'),
 second AS (SELECT * FROM readings WHERE event_id % 2 = 1 AND building_id <> 'B2'),
 versions AS (
@@ -964,6 +993,23 @@ for name, sql in SUMMARY_SQL.items():
     query(f"C3_operations_summary_{name}", sql)(summary_section(name))
 
 
+def section_from_log(section: str) -> Query:
+    """One section of the summary from the partial aggregates of a store of several batches, some merged."""
+
+    def c3_from_log(spark, sf_dir):
+        readings = events_as_readings(spark, sf_dir)
+        summary = jobs.summary_of_store(
+            spark, merged_store(spark, readings), "temperature", WEEK, newest_time(readings), order=TIES, exact=True
+        )
+        return summary[section]
+
+    return c3_from_log
+
+
+for name in ("totals", "kpis", "locations"):
+    query(f"C3_summary_of_store_{name}", SUMMARY_SQL[name])(section_from_log(name))
+
+
 @query(
     "C4_historical_messages",
     f"""{SCHEDULE_SQL}
@@ -1049,3 +1095,248 @@ def s10_dirty(spark, sf_dir):
     found = store.read_store(spark, folder).where("value IS NULL OR value < double('Infinity') OR isnan(value)")
     shown = F.when(F.isnan("value"), "NaN").otherwise(F.round("value").cast("long").cast("string"))
     return found.select("event_id", "sensor_type", shown.alias("shown"))
+
+
+#: Readings without a sensor, a value or with NaN: what the other operators make of them.
+GAPS_SQL = """, gaps AS (
+  SELECT event_id, event_time, building_id, room_id, CASE WHEN event_id % 17 <> 0 THEN sensor_type END AS sensor_type,
+         CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END AS value FROM readings),
+numbers AS (SELECT * REPLACE (CASE WHEN NOT isnan(value) THEN value END AS value) FROM gaps)"""
+
+
+def readings_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("event_id")
+    value = F.when(number % 11 == 0, None).when(number % 13 == 0, float("nan")).otherwise(F.col("value"))
+    return events_as_readings(spark, sf_dir).withColumns({"value": value, "sensor_type": F.when(number % 17 != 0, F.col("sensor_type"))})
+
+
+@query("A1_running_totals_gaps", f"{GAPS_SQL}{TOTALS_SQL.replace('FROM readings', 'FROM numbers')}")
+def a1_gaps(spark, sf_dir):
+    readings = readings_with_gaps(spark, sf_dir)
+    return reports.running_totals(readings.withColumn("value", F.when(~F.isnan("value"), F.col("value"))), exact=True)
+
+
+@query(
+    "A10_profile_gaps",
+    GAPS_SQL + PROFILE_SQL.replace("FROM readings", "FROM numbers"),
+)
+def a10_gaps(spark, sf_dir):
+    described = quality.profile(readings_with_gaps(spark, sf_dir), exact=True)
+    return rounded(described, "std_value", "q25", "q50", "q75")
+
+
+@query(
+    "A10_missing_values_gaps",
+    GAPS_SQL + sql_of("A10_missing_values").replace("FROM readings", "FROM numbers"),
+)
+def a10_missing_gaps(spark, sf_dir):
+    return quality.missing_values(readings_with_gaps(spark, sf_dir))
+
+
+@query(
+    "A11_histogram_gaps",
+    GAPS_SQL
+    + HISTOGRAM_SQL.replace("LEFT JOIN readings ON readings.sensor_type = bins.sensor_type", "LEFT JOIN numbers ON numbers.sensor_type IS NOT DISTINCT FROM bins.sensor_type").replace(
+        "FROM readings GROUP BY", "FROM numbers WHERE value IS NOT NULL GROUP BY"
+    ),
+)
+def a11_gaps(spark, sf_dir):
+    return quality.histogram(readings_with_gaps(spark, sf_dir), exact=True)
+
+
+W1_GAPS_SQL = scores_sql("event_time, event_id").replace("FROM readings WHERE", "FROM numbers WHERE value IS NOT NULL AND")
+
+
+@query("W1_detect_anomalies_gaps", f"{GAPS_SQL}{W1_GAPS_SQL}\nSELECT event_id, sensor_type, {ANOMALY_SQL} FROM gaps LEFT JOIN scores USING (event_id)")
+def w1_gaps(spark, sf_dir):
+    scored = scoring.detect_anomalies(readings_with_gaps(spark, sf_dir), order=IN_TIME)
+    return scored.select("event_id", "sensor_type", "ml_anomaly", "ml_confidence")
+
+
+@query("W4_rolling_means_gaps", f"{GAPS_SQL}{rolling_sql('numbers')}\nSELECT * EXCLUDE (value) FROM rolled")
+def w4_gaps(spark, sf_dir):
+    return features.with_rolling_means(readings_with_gaps(spark, sf_dir), order=IN_TIME, exact=True).drop("value")
+
+
+@query("D1_dedup_readings_gaps", f"{GAPS_SQL}{DEDUP_SQL.replace('FROM readings', 'FROM gaps')}\nSELECT * EXCLUDE (value) FROM clean")
+def d1_gaps(spark, sf_dir):
+    readings = readings_with_gaps(spark, sf_dir)
+    hours = readings.withColumn("event_hour", F.date_trunc("hour", "event_time").cast("timestamp_ntz"))
+    return quality.dedup_readings(hours, DEDUP_KEYS, TIES).drop("value")
+
+
+@query(
+    "D2_flag_outliers_gaps",
+    GAPS_SQL
+    + FLAGGED_SQL.replace("FROM readings GROUP BY", "FROM numbers GROUP BY")
+    .replace("readings.*, NOT (value BETWEEN low AND high)", "numbers.*, NOT coalesce(value BETWEEN low AND high, false)")
+    .replace("FROM readings JOIN bounds USING (sensor_type)", "FROM numbers JOIN bounds ON numbers.sensor_type IS NOT DISTINCT FROM bounds.sensor_type")
+    + "\nSELECT event_id, sensor_type, is_outlier FROM flagged",
+)
+def d2_gaps(spark, sf_dir):
+    return quality.flag_outliers(readings_with_gaps(spark, sf_dir)).select("event_id", "sensor_type", "is_outlier")
+
+
+BROKEN = "event_id % 97 = 5"
+
+
+@query(
+    "T1_raw_stream_malformed",
+    f""", kept AS (SELECT * FROM readings WHERE NOT ({BROKEN})){scores_sql(ARRIVAL).replace("FROM readings WHERE", "FROM kept WHERE")}
+SELECT {STORED_SQL}, {ANOMALY_SQL}, simple AS ml_prediction, false AS is_malformed FROM kept LEFT JOIN scores USING (event_id)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true FROM readings WHERE {BROKEN}""",
+)
+def t1_malformed(spark, sf_dir):
+    """Some messages are cut off; they are stored as rows of NULLs."""
+    path, progress, folder = (new_folder(spark, name) for name in ("raw", "progress", "messages"))
+    for half in halves(events_as_readings(spark, sf_dir)):
+        sent = messages.to_messages(half, sent_at=SENT_AT, keep=["event_id"])
+        cut = F.when(F.expr(BROKEN), F.substring("value", 1, 20)).otherwise(F.col("value"))
+        sent.select(cut.alias("value")).write.mode("append").text(folder)
+        incoming = messages.read_readings_stream(spark, folder=folder)
+        live.start_raw_stream(messages.parse_readings(incoming), path, progress, AVAILABLE_NOW).awaitTermination()
+    stored = store.read_store(spark, path)
+    shown = stored.select(*MESSAGE_COLUMNS, "ml_anomaly", "ml_confidence", "ml_prediction", "is_malformed")
+    return as_naive(shown, "event_time")
+
+
+@query(
+    "P2_split_malformed",
+    f"""
+SELECT event_time, sensor_type, value, NULL::VARCHAR AS message FROM readings WHERE NOT ({BROKEN})
+UNION ALL SELECT NULL, NULL, NULL, '{{"timestamp":"' || substr(strftime(event_time, '%Y-%m-%dT%H:%M:%S'), 1, 6) FROM readings WHERE {BROKEN}""",
+)
+def p2_split(spark, sf_dir):
+    """The stores of good and of malformed messages together, each batch written twice."""
+    sent = messages.to_messages(events_as_readings(spark, sf_dir), sent_at=SENT_AT, keep=["event_id"])
+    cut = F.when(F.expr(BROKEN), F.substring("value", 1, 20)).otherwise(F.col("value"))
+    parsed = messages.parse_readings(sent.select(cut.alias("value"), F.lit(SENT_AT).cast("timestamp").alias("timestamp")), with_text=True)
+    good, bad = new_folder(spark, "good"), new_folder(spark, "rejected")
+    sink = splitting_sink(store_sink(good), bad)
+    for number in (0, 0):
+        sink(parsed, number)
+    parts = [store.read_store(spark, good).select("event_time", "sensor_type", "value", F.lit(None).cast("string").alias("message")),
+             store.read_store(spark, bad).select("event_time", "sensor_type", F.lit(None).cast("double").alias("value"), "message")]
+    return as_naive(features.union_readings(*parts), "event_time")
+
+
+# --- order of what is written and sent --------------------------------------
+
+
+def with_place(df: DataFrame, *order: str) -> DataFrame:
+    """The place of each row, from 1, in the order of ``order``."""
+    placed = with_position(stage_in_order(df, order))
+    return placed.withColumn("place", F.col("_position") + 1).drop("_position")
+
+
+def lines_in_order(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of CSV files with the place each has, file after file, line after line."""
+    rows = spark.read.schema(schema).option("header", True).csv(folder).select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+    return with_place(rows, "_file", "_line").drop("_file", "_line")
+
+
+IN_FILES = "row_number() OVER (ORDER BY room_id, sensor_type, event_time)"
+
+
+@query("S7_processed_csv_order", f"\nSELECT event_id, room_id, sensor_type, {IN_FILES} AS place FROM readings")
+def s7_order(spark, sf_dir):
+    found = lines_in_order(spark, f"{processed_files(spark, sf_dir)}/all", PROCESSED_SCHEMA)
+    return found.select("event_id", "room_id", "sensor_type", "place")
+
+
+@query(
+    "S8_processed_csv_by_sensor_order",
+    "\nSELECT event_id, sensor_type, row_number() OVER (PARTITION BY sensor_type ORDER BY room_id, event_time) AS place FROM readings",
+)
+def s8_order(spark, sf_dir):
+    folder = processed_files(spark, sf_dir)
+    sensors = [r[0] for r in events_as_readings(spark, sf_dir).select("sensor_type").distinct().collect()]  # a handful
+    parts = [lines_in_order(spark, f"{folder}/by_sensor/sensor={s}", PROCESSED_SCHEMA) for s in sorted(sensors)]
+    return features.union_readings(*parts).select("event_id", "sensor_type", "place")
+
+
+@query(
+    "L6_processed_order",
+    f"{DEDUP_SQL}\nSELECT event_id, {IN_FILES} AS place FROM clean",
+)
+def l6(spark, sf_dir):
+    """The processed table in its total order, as its files lie."""
+    processed = jobs.process(hourly(spark, sf_dir), DEDUP_KEYS, TIES, exact=True, total_order=True)
+    rows = processed.select("event_id", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+    return with_place(rows, "_file", "_line").select("event_id", "place")
+
+
+NUMBERED_SQL = f"""{SCHEDULE_SQL}
+SELECT release_seconds, wait_seconds, 'B' || CAST(substr(building_id, 2) AS VARCHAR) || '/' || room_id || '/' || sensor_type AS key,
+       row_number() OVER (PARTITION BY building_id, room_id, sensor_type ORDER BY event_time) AS sequence, row_number() OVER (ORDER BY event_time) AS place,
+       strftime(event_time, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(event_time) % 1000000 = 0 THEN '' ELSE strftime(event_time, '.%f') END AS "timestamp",
+       '2026-01-02T03:04:05' AS kafka_timestamp, building_id, room_id, sensor_type, value, {UNIT_SQL} AS unit, 'historical_dataset' AS source,
+       CAST(floor(epoch(event_time)) AS BIGINT) AS original_timestamp FROM schedule"""
+
+
+@query("C4_numbered_messages", NUMBERED_SQL)
+def c4_numbered(spark, sf_dir):
+    """All fields of the replayed messages, their numbers within their keys and their places in the whole order."""
+    sent = jobs.historical_messages(events_as_readings(spark, sf_dir), order=TIES, sent_at=SENT_AT)
+    placed = with_position(messages.numbered(sent)).withColumn("place", F.col("_position") + 1)
+    fields = (
+        "timestamp STRING, kafka_timestamp STRING, building_id STRING, room_id STRING, sensor_type STRING, "
+        "value DOUBLE, unit STRING, source STRING, original_timestamp LONG"
+    )
+    return placed.select("release_seconds", "wait_seconds", "key", "sequence", "place", F.from_json("value", fields).alias("sent")).select(
+        "release_seconds", "wait_seconds", "key", "sequence", "place", "sent.*"
+    )
+
+
+# --- histories with a hot key, and rows in any order -------------------------
+
+#: A third of all readings come from one room.
+HOT_SQL = """, hot AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'hall' ELSE room_id END AS room_id,
+  CASE WHEN event_id % 3 = 0 THEN 'co2' ELSE sensor_type END AS sensor_type) FROM readings)"""
+
+
+@query(
+    "T4_history_stream_hot_key",
+    f"""{HOT_SQL}{scores_sql(ARRIVAL, "building_id, room_id, sensor_type").replace("FROM readings WHERE", "FROM hot WHERE")}
+SELECT event_time, building_id, room_id, sensor_type, value, {ANOMALY_SQL}, simple AS ml_prediction FROM hot LEFT JOIN scores USING (event_id)""",
+)
+def t4_hot(spark, sf_dir):
+    """Histories by room and sensor, one of them of a third of all rows, which is cut into chunks of 500 rows."""
+    path, progress, folder = (new_folder(spark, name) for name in ("scores", "progress", "messages"))
+    third = F.col("event_id") % 3 == 0
+    for half in halves(events_as_readings(spark, sf_dir)):
+        hot = half.withColumns({"room_id": F.when(third, "hall").otherwise(F.col("room_id")), "sensor_type": F.when(third, "co2").otherwise(F.col("sensor_type"))})
+        messages.to_messages(hot, sent_at=SENT_AT).write.mode("append").text(folder)
+        incoming = messages.parse_readings(messages.read_readings_stream(spark, folder=folder))
+        live.start_stateful_raw_stream(incoming, path, progress, AVAILABLE_NOW, order=("event_time", "value"), strategy="chunked", chunk_rows=500).awaitTermination()
+    columns = ("event_time", "building_id", "room_id", "sensor_type", "value", "ml_anomaly", "ml_confidence", "ml_prediction")
+    return as_naive(store.read_store(spark, path).select(*columns), "event_time")
+
+
+@query(
+    "T4_sorted_stream",
+    f"""{scores_sql(ARRIVAL, "room_id, sensor_type")}
+SELECT event_time, building_id, room_id, sensor_type, value, {ANOMALY_SQL}, simple AS ml_prediction FROM readings LEFT JOIN scores USING (event_id)""",
+)
+def t4_sorted(spark, sf_dir):
+    """The later half arrives first; rows wait for the watermark, which a clock far ahead moves at the end."""
+    path, progress, folder = (new_folder(spark, name) for name in ("scores", "progress", "messages"))
+    readings = events_as_readings(spark, sf_dir)
+    end = newest_time(readings)
+    clock = readings.where(F.col("event_time") == F.lit(end)).select(
+        (F.col("event_time") + F.expr("INTERVAL 20000 DAYS")).alias("event_time"), "building_id", "room_id", F.lit("clock").alias("sensor_type"), F.lit(0.0).alias("value")
+    )
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        for part in [*reversed(halves(readings)), clock]:
+            messages.to_messages(part, sent_at=SENT_AT).write.mode("append").text(folder)
+            incoming = messages.parse_readings(messages.read_readings_stream(spark, folder=folder))
+            live.start_sorted_raw_stream(
+                incoming, path, progress, AVAILABLE_NOW, by=("room_id", "sensor_type"), order=("event_time", "building_id", "value"), delay="9000 days", slot_seconds=86400
+            ).awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    columns = ("event_time", "building_id", "room_id", "sensor_type", "value", "ml_anomaly", "ml_confidence", "ml_prediction")
+    stored = store.read_store(spark, path).where("sensor_type <> 'clock'")
+    return as_naive(stored.select(*columns), "event_time")

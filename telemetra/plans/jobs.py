@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.functions import fixed_values as fixed
-from telemetra.operators import alerts, features, quality, replay, reports
+from telemetra.operators import alerts, features, quality, replay, reports, rollups
 from telemetra.sources import csv_tree, messages, store
 from telemetra.sources.staging import passing_tables, stage, stage_in_order
 from telemetra.streaming.queries import start_pipeline
@@ -59,9 +59,14 @@ def live(
     trigger: dict | None = None,
     as_of: object = None,
     read_once: bool = False,
+    split_malformed: bool = False,
 ) -> list[StreamingQuery]:
-    """A stream from ``read_readings_stream`` to stored readings, alerts and aggregates."""
-    return start_pipeline(messages.parse_readings(incoming), folder, checkpoint, trigger, as_of, read_once)
+    """A stream from ``read_readings_stream`` to stored readings, alerts and aggregates.
+
+    ``split_malformed`` puts messages that don't parse into a store of their own instead of rows of NULLs.
+    """
+    parsed = messages.parse_readings(incoming, with_text=split_malformed)
+    return start_pipeline(parsed, folder, checkpoint, trigger, as_of, read_once, split_malformed)
 
 
 def operations_summary(
@@ -88,6 +93,29 @@ def operations_summary(
     }
 
 
+def summary_of_store(
+    spark: SparkSession,
+    path: str,
+    sensor: str,
+    minutes: int,
+    as_of: object,
+    time: str = "event_time",
+    order: Sequence[str] = (),
+    exact: bool = False,
+) -> dict[str, DataFrame]:
+    """:func:`operations_summary` of a store: totals, KPIs and locations come from the log's partial aggregates.
+
+    The other sections open the files of the sensor and the period only.
+    """
+    stored = store.read_store(spark, path, sensor)
+    return {
+        **operations_summary(stored, sensor, minutes, as_of, time, order, exact),
+        "totals": rollups.stored_totals(spark, path),
+        "kpis": rollups.stored_kpis(spark, path, minutes, as_of, time, exact),
+        "locations": rollups.stored_by_location(spark, path, sensor, minutes, as_of, time, exact=exact),
+    }
+
+
 def historical_messages(
     readings: DataFrame,
     speed_factor: float = fixed.REPLAY_SPEED,

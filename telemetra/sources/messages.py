@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from telemetra.functions import fixed_values as fixed
 from telemetra.functions.columns import iso_time, lookup
+from telemetra.sources.staging import stage_in_order
 
 
 def read_readings_stream(
@@ -49,16 +50,23 @@ def _from_folder(reader: DataFrameReader | DataStreamReader, folder: str, option
     return lines.select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
 
 
-def parse_readings(messages: DataFrame, keep_malformed: bool = True) -> DataFrame:
-    """Message bytes to columns. Text that does not parse becomes a row of NULLs with ``is_malformed``."""
+def parse_readings(messages: DataFrame, keep_malformed: bool = True, with_text: bool = False) -> DataFrame:
+    """Message bytes to columns. Text that does not parse becomes a row of NULLs with ``is_malformed``.
+
+    ``with_text`` adds the text of malformed messages as ``message``, which :func:`telemetra.streaming.sinks.splitting_sink` stores.
+    """
+    text = F.col("value").cast("string")
     parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), fixed.READING_SCHEMA).alias("data"),
+        F.from_json(text, fixed.READING_SCHEMA).alias("data"),
         F.col("timestamp").alias("kafka_time"),
-    ).select("data.*", "kafka_time")
+        *([text.alias("message")] if with_text else []),
+    ).select("data.*", "kafka_time", *(["message"] if with_text else []))
     nothing = reduce(and_, [F.col(name).isNull() for name in fixed.READING_SCHEMA.fieldNames()])
     readings = parsed.select(
         "*", F.try_to_timestamp(F.col("timestamp")).alias("event_time"), nothing.alias("is_malformed")
     )
+    if with_text:
+        readings = readings.withColumn("message", F.when(F.col("is_malformed"), F.col("message")))
     return readings if keep_malformed else readings.where(~F.col("is_malformed"))
 
 
@@ -97,20 +105,39 @@ def to_messages(
     )
 
 
+def numbered(messages: DataFrame, time: str = "release_seconds", ties: Sequence[str] = ("key", "value")) -> DataFrame:
+    """Messages with ``sequence``: 1, 2, 3 and so on for each key, in the order of ``time``, then ``ties``.
+
+    All messages are sorted over the cluster once and written; a message's number is its place among those of its key in
+    its part of the order, after the key's messages in the parts before. So a hot key is divided among
+    all parts, and whoever receives messages out of order can put a key's back in order and see gaps. ``_part`` and ``_row`` say where in the order a message is.
+    """
+    placed = stage_in_order(messages, [time, *ties])
+    counts = placed.groupBy("key", "_part").agg(F.count("*").alias("_rows"))  # for a hot key as many rows as parts
+    earlier = Window.partitionBy("key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("key").alias("_key"), F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    )
+    joined = placed.join(starts, F.col("key").eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")))
+    inside = F.row_number().over(Window.partitionBy("_part", "key").orderBy("_row"))
+    return joined.withColumn("sequence", F.col("_start") + inside).drop("_key", "_of", "_start")
+
+
 def in_sending_order(messages: DataFrame, time: str = "release_seconds") -> DataFrame:
-    """A key's messages in one task and in time order, so that its topic partition gets them in that order."""
-    return messages.repartition("key").sortWithinPartitions(time, "key", "value")
+    """Each task sends a stretch of time, sorted; messages that are not ``numbered`` yet get their numbers.
+
+    Within a stretch a key's messages leave in order; those of different stretches meet in the topic as they
+    come, and ``sequence`` gives their order back.
+    """
+    some = messages if "sequence" in messages.columns else numbered(messages, time)
+    return some.repartition("_part").sortWithinPartitions("_part", "_row")
 
 
 def publish(messages: DataFrame, servers: str, topic: str = fixed.TOPIC, time: str = "release_seconds") -> None:
-    """Send messages to Kafka, those with a key in the order of ``time``; needs the Kafka connector."""
+    """Send messages to Kafka; those with a key are numbered, and the number is in the header ``sequence``. Needs the Kafka connector."""
+    writer_options = {"kafka.bootstrap.servers": servers, "kafka.batch.size": 16384, "kafka.linger.ms": 10, "topic": topic}
     if "key" in messages.columns:
-        messages = in_sending_order(messages, time).select("key", "value")
-    (
-        messages.write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("kafka.batch.size", 16384)
-        .option("kafka.linger.ms", 10)
-        .option("topic", topic)
-        .save()
-    )
+        number = F.struct(F.lit("sequence").alias("key"), F.col("sequence").cast("string").cast("binary").alias("value"))
+        messages = in_sending_order(messages, time).select("key", "value", F.array(number).alias("headers"))
+        writer_options["includeHeaders"] = True
+    messages.write.format("kafka").options(**writer_options).save()

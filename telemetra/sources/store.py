@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from telemetra.functions.columns import STORED_DAYS, STORED_SENSOR, iso_time, stored_sensor
 from telemetra.operators.features import of_sensor, union_readings
+from telemetra.sources.commits import LOG, CommitLog
+from telemetra.sources.keyed import KeyedTable
 from telemetra.sources.staging import file_system, hadoop_path
 
+__all__ = ["KeyedTable", "compact", "export_csv", "read_store", "save_processed", "upsert_latest", "write_batch"]
 
-#: Folders of merged batches; Spark's own listing passes over names that begin so.
-MERGED = re.compile(r"_merged-(\d+)-(\d+)")
-BATCH = re.compile(r"spark_batch_id=(\d+)")
+
+#: Folders of batches and merges, with the number of the last batch in them.
+FOLDER = re.compile(r"(?:spark_batch_id=|_merged-\d+-)(\d+)")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
@@ -22,12 +27,16 @@ def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time
 
     Inside, the files are laid out by sensor (``stored_sensor``), day of processing (``processed_date``, if
     ``processed_at`` is there) and day (``event_date``), which readers prune by; the sensor type itself is
-    in the files and comes back as it was.
+    in the files and comes back as it was. The batch counts from the moment its entry is in the store's log.
     """
+    path, log = path.rstrip("/"), CommitLog(df.sparkSession, path)
     columns = {STORED_SENSOR: stored_sensor(F.col("sensor_type")), "event_date": F.to_date(time)}
     if "processed_at" in df.columns:
         columns["processed_date"] = F.to_date("processed_at")
-    _write_by_day(df.withColumns(columns), f"{path.rstrip('/')}/spark_batch_id={batch_id}")
+    log.drop(f"batch-{batch_id}")
+    folder = f"spark_batch_id={batch_id}"
+    _write_by_day(df.withColumns(columns), f"{path}/{folder}")
+    log.add(f"batch-{batch_id}", folder)
 
 
 def _write_by_day(df: DataFrame, folder: str) -> None:
@@ -36,50 +45,34 @@ def _write_by_day(df: DataFrame, folder: str) -> None:
     df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(folder)
 
 
-def _folders(spark: SparkSession, path: str) -> tuple[list[str], list[int], list[str]]:
-    """Names of the complete merged folders, numbers of the batches outside them, and names that are no longer read."""
-    root = hadoop_path(spark, path)
-    files = file_system(spark, root)
-    if not files.exists(root):
-        return [], [], []
-    names = [status.getPath().getName() for status in files.listStatus(root)]
-    ranges = {n: tuple(map(int, found.groups())) for n in names if (found := MERGED.fullmatch(n))}
-    merged = [n for n in sorted(ranges, key=ranges.get) if files.exists(hadoop_path(spark, f"{path}/{n}/_SUCCESS"))]
-    last = max((ranges[n][1] for n in merged), default=-1)
-    batches = sorted(int(found[1]) for n in names if (found := BATCH.fullmatch(n)))
-    outdated = [f"spark_batch_id={b}" for b in batches if b <= last] + [n for n in ranges if n not in merged]
-    return merged, [b for b in batches if b > last], outdated
-
-
-def _all_stored(spark: SparkSession, path: str) -> DataFrame:
-    path = path.rstrip("/")
-    merged, batches, _ = _folders(spark, path)
-    if not merged:
-        return spark.read.parquet(path)
-    parts = [spark.read.parquet(f"{path}/{name}") for name in merged]
-    if batches:
-        parts.append(spark.read.option("basePath", path).parquet(*[f"{path}/spark_batch_id={b}" for b in batches]))
-    return union_readings(*parts)
-
-
 def compact(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Merge the batches since the last call, but for the newest ``keep``, into one folder by sensor and day.
 
-    Run it now and then, say daily, from one place: the folders to list then grow with the days, not with the
-    batches, and no row is merged twice. A folder counts when it is complete, and replaces its batches from
+    Run it now and then, say daily, from one place: the entries and folders then grow with the days, not with the
+    batches, and no row is merged twice. A merge counts when its entry is in the log, and replaces its batches from
     then on, so a call that dies changes nothing. The batches themselves go with the next call, for the
-    sake of readers that began before; a query that starts again repeats its newest batch only, which
+    sake of readers that planned before; a query that starts again repeats its newest batch only, which
     ``keep`` leaves alone.
     """
-    path = path.rstrip("/")
-    _, batches, outdated = _folders(spark, path)
-    for name in outdated:
-        folder = hadoop_path(spark, f"{path}/{name}")
-        file_system(spark, folder).delete(folder, True)
+    path, log = path.rstrip("/"), CommitLog(spark, path)
+    root = hadoop_path(spark, path)
+    counting = {*log.merged().values(), *[f"spark_batch_id={b}" for b in log.batches()], LOG}
+    newest = max([*log.batches(), *[last for _, last in log.merged()]], default=-1)
+    for status in file_system(spark, root).listStatus(root):
+        name = status.getPath().getName()
+        number = FOLDER.fullmatch(name)
+        if number and name not in counting and int(number[1]) <= newest:  # a newer one is being written
+            file_system(spark, root).delete(status.getPath(), True)
+    for name in log.outdated():
+        log.drop(name)
+    batches = log.batches()
     old = batches[: max(len(batches) - max(keep, 1), 0)]
     if old:
-        rows = spark.read.option("basePath", path).parquet(*[f"{path}/spark_batch_id={b}" for b in old])
-        _write_by_day(rows, f"{path}/_merged-{old[0]}-{old[-1]}")
+        folders = tuple(f"spark_batch_id={b}/" for b in old)
+        rows = union_readings(*log.read([f for f in log.files() if f.startswith(folders)]))
+        merged = f"merged-{old[0]}-{old[-1]}"
+        _write_by_day(rows, f"{path}/_{merged}")
+        log.add(merged, f"_{merged}")
 
 
 def read_store(
@@ -90,8 +83,31 @@ def read_store(
     until: object = None,
     time: str = "event_time",
 ) -> DataFrame:
-    """Stored readings of a sensor from ``since`` up to ``until``, both included; merged batches and others."""
-    stored = _all_stored(spark, path)
+    """Stored readings of a sensor from ``since`` up to ``until``, both included; merged batches and others.
+
+    The files to open are planned from the store's log by sensor and time bounds; no directory of the store is listed, and
+    the table stays the same while batches are merged.
+    """
+    path, log = path.rstrip("/"), CommitLog(spark, path)
+    entries = log.entries()
+    if entries is None:
+        return _rows_of(spark.read.parquet(path), sensor, since, until, time)  # written without a log
+    bounds = [F.lit(True)]
+    if sensor is not None:
+        bounds.append(F.col(STORED_SENSOR) == stored_sensor(F.lit(sensor)))
+    if since is not None and f"last_{time}" in entries.columns:
+        bounds.append(F.col(f"last_{time}") >= F.lit(since).cast(entries.schema[f"last_{time}"].dataType))
+    if until is not None and f"first_{time}" in entries.columns:
+        bounds.append(F.col(f"first_{time}") <= F.lit(until).cast(entries.schema[f"first_{time}"].dataType))
+    files = log.files(reduce(and_, bounds))
+    some = files or log.files()[:1]
+    if not some:
+        raise ValueError(f"nothing is stored at {path}")
+    stored = union_readings(*log.read(some))
+    return _rows_of(stored if files else stored.limit(0), sensor, since, until, time)
+
+
+def _rows_of(stored: DataFrame, sensor: str | None, since: object, until: object, time: str) -> DataFrame:
     day = STORED_DAYS.get(time)
     kind = stored.schema[time].dataType
     if sensor is not None:
@@ -118,54 +134,18 @@ def upsert_latest(
     return rows.withColumn("_age", F.row_number().over(newest)).where("_age = 1").drop("_age")
 
 
-class KeyedTable:
-    """A small keyed table, rewritten per micro-batch as a numbered version.
-
-    A batch builds on the newest complete version before its own number, so that
-    running it again gives the same table. The version before it is kept for readers.
-    Every batch writes the whole table, which therefore should stay small.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The newest version (older than batch ``before``), or None."""
-        versions = self._versions(before)
-        return self.spark.read.parquet(self._folder(versions[-1])) if versions else None
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(batch_id))
-        for outdated in self._versions(batch_id)[:-1]:
-            folder = hadoop_path(self.spark, self._folder(outdated))
-            file_system(self.spark, folder).delete(folder, True)
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version-{version}"
-
-    def _versions(self, before: int | None) -> list[int]:
-        root = hadoop_path(self.spark, self.path)
-        files = file_system(self.spark, root)
-        if not files.exists(root):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(root)]
-        numbers = sorted(int(name.removeprefix("version-")) for name in names if name.startswith("version-"))
-        return [
-            n
-            for n in numbers
-            if (before is None or n < before) and files.exists(hadoop_path(self.spark, f"{self._folder(n)}/_SUCCESS"))
-        ]
+def _plain_number(name: str) -> Column:
+    """Seconds without an exponent, and without a fraction where they have none."""
+    seconds = F.col(name)
+    exact = F.when(F.abs(seconds) < 1e13, seconds).cast("decimal(20,6)").cast("string")
+    return F.coalesce(F.regexp_replace(exact, r"\.0+$", ""), seconds.cast("string")).alias(name)
 
 
 def save_processed(df: DataFrame, folder: str) -> None:
     """The processed table as CSV twice: whole, and divided by sensor type; in order inside and between files."""
     inner = ("source_file", "source_row")
-    columns = [
-        iso_time("event_time", " ").alias("timestamp") if name == "event_time" else F.col(name)
-        for name in df.columns
-        if name not in inner
-    ]
+    shown = {"event_time": iso_time("event_time", " ").alias("timestamp"), "timestamp_unix": _plain_number("timestamp_unix")}
+    columns = [shown.get(name, F.col(name)) for name in df.columns if name not in inner]
     order = [name for name in ("room_id", "sensor_type", "event_time", *inner) if name in df.columns]
     # sorted last, as reading a table again mixes its files
     in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -178,5 +158,3 @@ def save_processed(df: DataFrame, folder: str) -> None:
 
 def export_csv(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(folder)
-
-

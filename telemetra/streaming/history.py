@@ -1,4 +1,4 @@
-"""Scoring as a stateful operator: the history of each key lives in the state store."""
+"""Scoring in order of event time as a stateful operator: late rows wait in the state store for their turn."""
 
 from __future__ import annotations
 
@@ -7,9 +7,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from telemetra.functions import fixed_values as fixed
 from telemetra.operators.scoring import SCORE_TYPES, is_scored
@@ -19,12 +20,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows scored at once.
 _BLOCK_ROWS = 10_000
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SLOT = "_slot"
 
 
 class HistoryScorer(StatefulProcessor):
-    """Scores the readings of one key in a micro-batch, in order, each against the 50 before it."""
+    """Holds the rows of a key by slots of event time and scores a slot when the watermark has passed it.
+
+    Memory holds a block of arriving rows, or one slot of one key; everything else is in the state store.
+    """
 
     def __init__(
         self,
@@ -35,6 +40,8 @@ class HistoryScorer(StatefulProcessor):
         size: int,
         minimum: int,
         recent: int,
+        slot_ms: int = 60_000,
+        names: Sequence[str] = (),
     ):
         self.order = list(order)
         self.columns = list(columns)
@@ -43,14 +50,36 @@ class HistoryScorer(StatefulProcessor):
         self.size = size
         self.minimum = minimum
         self.recent = recent
+        self.slot_ms = slot_ms
+        self.names = list(names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.history = handle.getListState("history", T.StructType([T.StructField("value", T.DoubleType())]))
+        # slot -> number of its blocks; (slot, number) -> a block of rows, as Arrow has them
+        self.slots = handle.getMapState("slots", "slot LONG", "blocks INT")
+        self.waiting = handle.getMapState("waiting", "slot LONG, block INT", "rows BINARY")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            frame.columns = self.names  # they come with names that Python could use for fields
+            for slot, part in frame.groupby(_SLOT):
+                slot = int(slot)
+                blocks = self.slots.getValue((slot,))[0] if self.slots.containsKey((slot,)) else 0
+                if not blocks:
+                    self.handle.registerTimer((slot + 1) * self.slot_ms)
+                self.waiting.updateValue((slot, blocks), (_packed(part.drop(columns=_SLOT)),))
+                self.slots.updateValue((slot,), (blocks + 1,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        slot = expiredTimerInfo.getExpiryTimeInMs() // self.slot_ms - 1
+        blocks = self.slots.getValue((slot,))[0]
+        batch = pd.concat([_unpacked(self.waiting.getValue((slot, block))[0]) for block in range(blocks)], ignore_index=True)
+        for block in range(blocks):
+            self.waiting.removeKey((slot, block))
+        self.slots.removeKey((slot,))
         past = np.array([row[0] for row in self.history.get()], dtype=float)
-        # all blocks of the key in this micro-batch, as their order spans blocks
-        batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values(self.order, kind="stable", ignore_index=True)
         for start in range(0, len(batch), _BLOCK_ROWS):
             block = batch.iloc[start : start + _BLOCK_ROWS].reset_index(drop=True)
@@ -94,19 +123,41 @@ class HistoryScorer(StatefulProcessor):
         }
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.BufferOutputStream() as out:
+        with pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_table(table)
+        return out.getvalue().to_pybytes()
+
+
+def _unpacked(rows: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(rows)).read_pandas()
+
+
 def detect_anomalies_stream(
     readings: DataFrame,
     by: Sequence[str] = ("building_id", "room_id", "sensor_type"),
     order: Sequence[str] = ("event_time",),
     threshold: float = fixed.ANOMALY_THRESHOLD,
+    delay: str = "10 minutes",
+    slot_seconds: int = 60,
+    time: str = "event_time",
 ) -> DataFrame:
-    """Add ml_anomaly, ml_confidence and ml_prediction to a stream of readings.
+    """Add ml_anomaly, ml_confidence and ml_prediction to a stream of readings, in order of event time across micro-batches.
+
+    A reading is held until the watermark, ``delay`` behind the newest event time, has passed its slot of
+    ``slot_seconds``; then the slot is put in ``order`` (which begins with ``time``) and scored after all slots before it.
+    The scores are thus those of the batch operator, in whatever order files or partitions arrive. Rows later than the watermark are not
+    scored nor passed on; :func:`late_rows` counts them. Readings of other sensor types, without a value or
+    without a time pass by at once, without scores.
 
-    A micro-batch of a key is put in ``order``, then scored after those before it. Other sensor types and missing values pass by without scores. The
-    state is 50 values per key, and one task holds a key's rows of a micro-batch, which suits
-    many keys such as rooms; for few or hot keys use the raw sink, which divides them.
+    State is 50 values for each key and the waiting rows. A task holds a block of arriving rows or one
+    slot of one key, whose rows arrive in one task, though: for few or hot keys use the raw
+    sink, which divides them and takes arrival as the order between batches. The state store must be RocksDB.
     """
-    readings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)  # list state needs this store
+    if readings.sparkSession.conf.get(STATE_STORE) != ROCKS_DB:
+        raise ValueError(f"set {STATE_STORE} to {ROCKS_DB}")
     output = T.StructType(
         [
             *readings.schema.fields,
@@ -115,9 +166,13 @@ def detect_anomalies_stream(
             T.StructField("_prediction", T.DoubleType()),
         ]
     )
+    slot_ms = slot_seconds * 1000
+    held = F.coalesce(is_scored(fixed.SCORED_SENSORS) & F.col(time).isNotNull(), F.lit(False))
+    # all readings with a time move the watermark; a filter without the time would be moved in front of it
+    slot = F.when(held, F.floor(F.unix_millis(time) / slot_ms))
+    waiting = readings.withWatermark(time, delay).withColumn(_SLOT, slot).where(F.col(_SLOT).isNotNull())
     scored = (
-        readings.where(is_scored(fixed.SCORED_SENSORS))
-        .groupBy(*by)
+        waiting.groupBy(*by)
         .transformWithStateInPandas(
             HistoryScorer(
                 order,
@@ -127,14 +182,21 @@ def detect_anomalies_stream(
                 fixed.HISTORY_ROWS,
                 fixed.HISTORY_MINIMUM,
                 fixed.PREDICTION_ROWS,
+                slot_ms,
+                waiting.columns,
             ),
             outputStructType=output,
             outputMode="append",
-            timeMode="none",
+            timeMode="EventTime",
         )
     )
     scored = scored.select(
         *readings.columns, "ml_anomaly", "ml_confidence", F.round("_prediction", 2).alias("ml_prediction")
     )
-    others = readings.where(~is_scored(fixed.SCORED_SENSORS))
+    others = readings.where(~held)
     return scored.union(others.select("*", *[F.lit(None).cast(t).alias(n) for n, t in SCORE_TYPES.items()]))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark, in the batches whose progress the query still has."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])

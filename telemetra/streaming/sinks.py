@@ -62,15 +62,18 @@ def raw_sink(
     """Score every reading against the readings before it, earlier batches included, and store it.
 
     The last 50 readings of each key are carried from batch to batch in a keyed
-    table at ``history_path``. Inside a batch ``order`` decides, between batches arrival.
+    table at ``history_path``, of which a batch reads and writes the partitions of its keys only. Inside a batch
+    ``order`` decides, between batches arrival. Hot keys are divided: see ``with_row_frames``.
     """
     carried = list(dict.fromkeys([*by, "sensor_type", "value", *order]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with passing_tables(spark):
-            history = KeyedTable(spark, history_path)
-            earlier = history.read(before=batch_id)
+            history = KeyedTable(spark, history_path, by)
+            scored_rows = batch.where(is_scored(fixed.SCORED_SENSORS))
+            touched = history.touched(scored_rows, before=batch_id)
+            earlier = history.read(before=batch_id, only=touched)
             # _age: 50 to 1 for the rows carried over, 0 for those of the batch
             together = batch.withColumns({"_carried": F.lit(False), "_age": F.lit(0)})
             if earlier is not None:
@@ -89,7 +92,7 @@ def raw_sink(
                 .withColumn("_age", F.row_number().over(backwards))
                 .where(F.col("_age") <= fixed.HISTORY_ROWS)
             )
-            history.write(kept.select(*carried, "_age"), batch_id)
+            history.write(kept.select(*carried, "_age"), batch_id, touched)
 
     return unless_empty(write)
 
@@ -113,9 +116,10 @@ def aggregate_sink(
     """Replace the rows of the keys that the batch brings."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = KeyedTable(batch.sparkSession, path)
+        table = KeyedTable(batch.sparkSession, path, keys)
         stamped = batch.withColumns({"spark_batch_id": F.lit(batch_id).cast("long"), "last_update": now(as_of)})
-        table.write(upsert_latest(table.read(before=batch_id), stamped, keys), batch_id)
+        touched = table.touched(batch, before=batch_id)
+        table.write(upsert_latest(table.read(before=batch_id, only=touched), stamped, keys), batch_id, touched)
 
     return unless_empty(write)
 
@@ -131,7 +135,8 @@ def totals_sink(
     total_type = "decimal(38,4)" if exact else "double"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = KeyedTable(batch.sparkSession, path)
+        table = KeyedTable(batch.sparkSession, path, keys)
+        touched = table.touched(batch, before=batch_id)
         sums = batch.groupBy(*keys).agg(
             F.sum(value).cast(total_type).alias("value_sum"),
             F.count("value").alias("value_count"),
@@ -139,7 +144,7 @@ def totals_sink(
             F.count("*").alias("message_count"),
         )
         sums = sums.withColumns({"spark_batch_id": F.lit(batch_id).cast("long"), "last_update": now(as_of)})
-        earlier = table.read(before=batch_id)
+        earlier = table.read(before=batch_id, only=touched)
         if earlier is not None:
             sums = sums.unionByName(earlier.drop("avg_value"))
         merged = sums.groupBy(*keys).agg(
@@ -151,7 +156,7 @@ def totals_sink(
             F.max("last_update").alias("last_update"),
         )
         average = F.col("value_sum").cast("double") / F.nullif(F.col("value_count"), F.lit(0))
-        table.write(merged.withColumn("avg_value", average), batch_id)
+        table.write(merged.withColumn("avg_value", average), batch_id, touched)
 
     return unless_empty(write)
 
@@ -165,3 +170,18 @@ def combined_sink(raw: BatchFunction, alerts: BatchFunction, totals: BatchFuncti
         totals(batch, batch_id)
 
     return unless_empty(write)
+
+
+def splitting_sink(good: BatchFunction, rejected_path: str, as_of: object = None) -> BatchFunction:
+    """Malformed messages to a store of their own, with their text; all others on to ``good``.
+
+    The batch comes from ``parse_readings(..., with_text=True)``. Both stores take the batch under its number, so a batch
+    that is run again replaces its rows in both, and together they hold every message once.
+    """
+    rejected = store_sink(rejected_path, as_of=as_of)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rejected(batch.where("is_malformed").select("message", "kafka_time", "event_time", "sensor_type"), batch_id)
+        good(batch.where("NOT is_malformed").drop("message"), batch_id)
+
+    return unless_empty(write)

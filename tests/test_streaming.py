@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 from datetime import timedelta
 
 import numpy as np
@@ -10,14 +11,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import START
+from telemetra.functions import fixed_values as fixed
+from telemetra.operators import ordered, scale
 from telemetra.operators.reports import running_totals
-from telemetra.operators.scoring import score_readings
+from telemetra.operators.scoring import is_scored, score_readings
 from telemetra.plans.jobs import live as live_job
 from telemetra.sources import messages, store
 from telemetra.sources.staging import shared_folder
-from telemetra.streaming import queries as live
+from telemetra.streaming import history, queries as live
 from telemetra.streaming.history import HistoryScorer
-from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink, totals_sink
+from telemetra.streaming.sinks import READING_ORDER, aggregate_sink, alert_sink, raw_sink, splitting_sink, totals_sink
 
 NOW = {"availableNow": True}
 SENSORS = ("temperature", "co2", "humidity", "light")
@@ -241,17 +244,136 @@ def test_block_scores_equal_the_loop(tail):
         assert found[i] is (True if raised else None)
 
 
-def test_stateful_stream_in_small_blocks(spark, feed, tmp_path):
-    """Files in no order of time, with far more rows of a key in a micro-batch than in an Arrow block."""
+@pytest.fixture
+def rocks_db(spark):
+    """The state store that timers and map states need."""
+    before = spark.conf.get(history.STATE_STORE)
+    spark.conf.set(history.STATE_STORE, history.ROCKS_DB)
+    yield
+    spark.conf.set(history.STATE_STORE, before)
+
+
+def clock(feed, seconds):
+    """A reading that is not scored, far ahead in time."""
+    reading = {"timestamp": (START + timedelta(seconds=seconds)).isoformat(), "sensor_type": "occupancy", "value": 1.0, "source": "clock"}
+    (feed.folder / f"part-{feed.files}.txt").write_text(json.dumps(reading) + "\n")
+    feed.files += 1
+
+
+@pytest.mark.parametrize("by", [("sensor_type",), ("room_id", "sensor_type")])
+def test_sorted_stream_takes_files_in_any_order(spark, feed, tmp_path, rocks_db, by):
+    """Files in reverse, rows shuffled, more rows in a slot than in an Arrow block, a restart in between."""
     block = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(block)
     spark.conf.set(block, 20)
     try:
+        for _ in range(6):
+            feed.add(300, shuffled=True)
+        for number in range(6):  # the file source goes by time of modification
+            os.utime(feed.folder / f"part-{number}.txt", (time.time() - 5000 - number * 100,) * 2)
         path, progress = str(tmp_path / "scores"), str(tmp_path / "progress")
-        feed.add(2000, shuffled=True)
-        finish(live.start_stateful_raw_stream(feed.stream(), path, progress, NOW, START, by=("sensor_type",)))
+        settings = {"by": by, "order": READING_ORDER, "delay": "40 minutes", "slot_seconds": 97}
+        run = lambda: live.start_sorted_raw_stream(feed.stream(maxFilesPerTrigger=1), path, progress, NOW, START, **settings)
+        finish(run())
+        assert store.read_store(spark, path).where("ml_prediction IS NOT NULL").isEmpty()  # all wait
+        clock(feed, 100_000)
+        query = run()
+        finish(query)
     finally:
         spark.conf.set(block, before)
-    wanted = score_readings(feed.batch(), ("sensor_type",), READING_ORDER)
+    wanted = score_readings(feed.batch(), by, READING_ORDER)
     stored = store.read_store(spark, path)
+    assert stored.where("ml_anomaly").count() > 0
     assert rows(stored, *SCORED) == rows(wanted, *SCORED)
+    assert history.late_rows(query) == 0
+    feed.add(100)  # far behind the watermark now
+    query = run()
+    finish(query)
+    late = feed.batch().where(is_scored(fixed.SCORED_SENSORS)).count() - wanted.where(is_scored(fixed.SCORED_SENSORS)).count()
+    assert history.late_rows(query) == late > 50
+    assert store.read_store(spark, path).count() == wanted.count() + (100 - late)
+
+
+def test_sorted_stream_wants_its_state_store(feed):
+    feed.add(1)
+    with pytest.raises(ValueError, match="providerClass"):
+        history.detect_anomalies_stream(feed.stream())
+
+
+def test_stateful_stream_of_shuffled_rows(spark, feed, tmp_path):
+    path, progress = str(tmp_path / "scores"), str(tmp_path / "progress")
+    feed.add(2000, shuffled=True)
+    finish(live.start_stateful_raw_stream(feed.stream(), path, progress, NOW, START, by=("sensor_type",), strategy="chunked", chunk_rows=60))
+    wanted = score_readings(feed.batch(), ("sensor_type",), READING_ORDER)
+    assert rows(store.read_store(spark, path), *SCORED) == rows(wanted, *SCORED)
+
+
+def test_hot_key_of_a_batch_is_divided(spark, tmp_path, monkeypatch):
+    """A third of a million rows have one key: scores are the batch's, and no task gets many of them."""
+    n, limit = 1_000_000, 20_000
+    monkeypatch.setattr(scale, "TASK_ROWS", limit)
+    number = F.col("id")
+    made = spark.range(n).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + number).alias("event_time"),
+        F.lit("B").alias("building_id"),
+        F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("R"), (F.xxhash64("id") % 997).cast("string"))).alias("room_id"),
+        F.lit("co2").alias("sensor_type"),
+        (F.abs(F.xxhash64("id", F.lit(1))) % 1000 + F.when(number % 501 == 0, 5000).otherwise(0)).cast("double").alias("value"),
+        F.lit(None).cast("timestamp").alias("kafka_time"),
+    )
+    made.write.parquet(str(tmp_path / "made"))
+    readings = spark.read.parquet(str(tmp_path / "made"))
+    by, path = ("room_id", "sensor_type"), str(tmp_path / "raw")
+    sizes = []
+    divided = ordered._chunked
+
+    def watched(df, *args):
+        parts = divided(df, *args)
+        sizes.append((df.count(), args[-1]))
+        return parts
+
+    monkeypatch.setattr(ordered, "_chunked", watched)
+    sink = raw_sink(path, str(tmp_path / "history"), by, chunk_rows=limit)
+    sink(readings.where("event_time < timestamp_seconds(1700300000)"), 0)
+    sink(readings.where("event_time >= timestamp_seconds(1700300000)"), 1)
+    assert [(rows > 90_000, size) for rows, size in sizes] == [(True, limit), (True, limit)]  # chunks of as many rows as wanted
+    wanted = score_readings(readings, by, READING_ORDER, strategy="plain")
+    total = lambda df: df.agg(F.count("*"), F.count("ml_anomaly"), F.sum(F.xxhash64(*SCORED).cast("decimal(38,0)"))).first()
+    assert total(store.read_store(spark, path)) == total(wanted)
+    state = store.KeyedTable(spark, str(tmp_path / "history")).read()
+    assert state.count() == 50 * state.select("room_id").distinct().count()  # 50 values for each key, no more
+
+
+def test_carried_history_is_read_by_partition(spark, feed, tmp_path):
+    """A batch of one room leaves the histories of the others as they are."""
+    by, folder = ("building_id", "room_id", "sensor_type"), tmp_path / "history"
+    feed.add(900)
+    sink = raw_sink(str(tmp_path / "raw"), str(folder), by)
+    sink(feed.batch(), 0)
+    before = json.loads((folder / "manifests" / "0").read_text())["folders"]
+    sink(feed.batch().where("building_id = 'B1' AND room_id = 'R1' AND sensor_type = 'co2'"), 1)
+    after = json.loads((folder / "manifests" / "1").read_text())["folders"]
+    assert before.keys() == after.keys() and sum(before[p] != after[p] for p in before) == 1
+
+
+def test_malformed_messages_are_split_off(spark, feed, tmp_path):
+    """Good and split-off rows together are the input, after a repeated batch too; the texts are kept."""
+    out, progress = tmp_path / "out", str(tmp_path / "progress")
+    for n in (150, 150):
+        feed.add(n)
+        incoming = messages.read_readings_stream(spark, folder=str(feed.folder))
+        finish(*live_job(incoming, str(out), progress, NOW, START, split_malformed=True))
+    good, rejected = (store.read_store(spark, str(out / name)) for name in ("raw", "rejected"))
+    assert good.count() + rejected.count() == feed.sent and good.where("is_malformed").isEmpty()
+    assert {r["message"] for r in rejected.collect()} == {"{broken"} and rejected.count() == 4
+    wanted = feed.batch().where("NOT is_malformed")
+    assert rows(good, *SCORED) == rows(score_readings(wanted, order=READING_ORDER), *SCORED)
+    totals = store.KeyedTable(spark, str(out / "aggregates")).read()
+    assert totals.where("sensor_type IS NULL").isEmpty() and totals.agg(F.sum("message_count")).first()[0] == feed.sent - 4
+
+    parsed = messages.parse_readings(messages.read_message_files(spark, str(feed.folder)), with_text=True)
+    seen = []
+    sink = splitting_sink(lambda batch, number: seen.append(batch.count()), str(tmp_path / "again"), START)
+    for number in (0, 0, 1, 1):
+        sink(parsed, number)
+    assert seen == [feed.sent - 4] * 4 and store.read_store(spark, str(tmp_path / "again")).count() == 8
