@@ -33,7 +33,7 @@ SHINGLE = 5
 LEAST_CONTAINMENT = 0.8
 BANDS = 64
 #: Bits of the filter of shingles, which tasks get as a literal of half a megabyte at most.
-MOST_BITS, BITS_PER_SHINGLE, BITS_SET = 1 << 22, 16, 4
+MOST_BITS, BITS_PER_SHINGLE, BITS_SET = 1 << 22, 256, 4
 
 
 def notices(spark: SparkSession) -> DataFrame:

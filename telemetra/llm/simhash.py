@@ -31,6 +31,8 @@ from telemetra.sources.staging import stage
 
 BITS = 64
 SEED = 42
+#: More parts have keys of 16 bits or fewer, in which bits that go together gather too many fingerprints.
+MOST_PARTS = 3
 #: An index bucket with more fingerprints than this is searched between groups only, not between all pairs.
 DENSE_BUCKET = 64
 
@@ -154,7 +156,7 @@ def choose_parts(n: int, ones: np.ndarray, correlation: np.ndarray, within: int)
         cost = [estimate(n, ones, g, None, within) for g in groups]
         return sum(c[t + 1] for c, t in zip(cost, allocate(cost, within - parts + 1)))
 
-    return min(range(1, within + 2), key=least_cost)
+    return min(range(1, min(within + 1, MOST_PARTS) + 1), key=least_cost)
 
 
 def plan_search(distinct: DataFrame, within: int, parts: int | None) -> list[tuple[int, list[int]]]:

@@ -97,7 +97,7 @@ def test_search_grows_with_the_number_of_fingerprints(n, parts):
     ones, correlation = np.full(64, 0.5), np.eye(64)
     assert simhash.choose_parts(n, ones, correlation, 4) == parts
     costs = {}
-    for k in range(1, 6):
+    for k in range(1, simhash.MOST_PARTS + 1):
         groups = simhash.group_bits(correlation, k)
         cost = [simhash.estimate(n, ones, g, None, 4) for g in groups]
         thresholds = simhash.allocate(cost, 4 - k + 1)
@@ -228,7 +228,13 @@ def test_ids_that_repeat_are_divided(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(mixing, "stage_in_order", watched)
-    found = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # else so few rows are one slice
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        found = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    finally:
+        spark.conf.set(setting, before)
     duck = duckdb.connect()
     documents = docs.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
     duck.register("documents", documents)
