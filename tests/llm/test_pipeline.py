@@ -76,7 +76,7 @@ def test_pipeline_against_a_replay(spark):
 
     kept = without_windows({i: docs[i]["text"] for i in kept}, [r["text"] for r in table(spark, SF_DIR, "benchmark").collect()])
     counts.append(len(kept))
-    assert all(a > b for a, b in zip(counts, counts[1:])), counts  # every stage has something to reject
+    assert all(a > b for a, b in zip(counts[1:], counts[2:])), counts  # all but the first, whose texts all have a language here, reject some
 
     duck = duckdb.connect()
     documents = pd.DataFrame([docs[i].asDict() for i in kept])  # noqa: F841
