@@ -101,7 +101,9 @@ class CommitLog:
     def _place(self, table: DataFrame, top: str, name: str) -> None:
         """Write a table under another name and put it in place at once; what is there of an earlier attempt goes."""
         draft, place = (hadoop_path(self.spark, f"{self.path}/{top}/{n}") for n in (f".draft-{uuid4().hex}", name))
-        table.coalesce(1).write.parquet(draft.toString())
+        # one file by a shuffle: coalesce(1) would have one task aggregate all partitions in turn, each with buffers of its own,
+        # as many as spark.sql.shuffle.partitions where a stateful stream has switched adaptive execution off
+        table.repartition(1).write.parquet(draft.toString())
         files = file_system(self.spark, place)
         files.delete(place, True)
         if not files.rename(draft, place):

@@ -5,6 +5,7 @@ import shutil
 from datetime import timedelta
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from conftest import START
@@ -55,6 +56,23 @@ def rows_of(df):
     return shown(df.select("event_id", "event_time", "room_id", "sensor_type", "value"))
 
 
+def test_entries_are_aggregated_by_many_tasks(spark, tmp_path):
+    """Without adaptive execution, as below a stateful stream, no task takes all partitions of an entry's aggregates."""
+    adaptive = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        task = F.udf(lambda _: TaskContext.get().taskAttemptId(), "long").asNondeterministic()
+        counts = spark.range(1000).groupBy("id").count().withColumn("task", task("count"))
+        CommitLog(spark, str(tmp_path))._place(counts, "_commits", "batch-0")
+    finally:
+        spark.conf.set(adaptive, before)
+    entry = spark.read.parquet(f"{tmp_path}/_commits/batch-0")
+    assert entry.agg(F.count("*"), F.sum("count")).first() == (1000, 1000)
+    assert entry.select("task").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(entry.inputFiles()) == 1
+
+
 def test_all_rows_are_found(spark, path):
     stored = store.read_store(spark, path)
     whole = [some_readings(spark, batch) for batch in range(6)]
