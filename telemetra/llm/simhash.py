@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.llm.common import LOWER_ASCII, map_texts
 from telemetra.llm.components import connected
+from telemetra.operators.scale import BROADCAST_GROUPS
 from telemetra.sources.staging import stage
 
 BITS = 64
@@ -195,6 +196,9 @@ def links(distinct: DataFrame, within: int, parts: int | None = None) -> DataFra
     buckets is verified and returned. A bucket of more than ``DENSE_BUCKET`` fingerprints first
     links its members to a few of them (its centres); the searched pairs are then those of
     different groups. The groups stay the same as with all pairs, without listing them.
+
+    Spark takes an exploded table for as small as the one it came from, and where no bucket is dense, adaptive execution
+    sees nothing else of the search's sides. So no exploded table is left to be broadcast by its estimate.
     """
     search = plan_search(distinct, within, parts)
     index = distinct.select("simhash", F.explode(keys([m for m, _ in search])).alias("k")).select("k.part", "k.key", "simhash")
@@ -209,7 +213,8 @@ def links(distinct: DataFrame, within: int, parts: int | None = None) -> DataFra
         .select("part", "key", F.explode(F.array_distinct("centres.b")).alias("b"))
     )
     dense = stage(dense)
-    starred = stage(index.join(dense, ["part", "key"]).select(F.col("simhash").alias("a"), "b").filter(near & (F.col("a") != F.col("b"))).distinct())
+    centres = F.broadcast(dense) if dense.count() <= BROADCAST_GROUPS else dense.hint("merge")
+    starred = stage(index.join(centres, ["part", "key"]).select(F.col("simhash").alias("a"), "b").filter(near & (F.col("a") != F.col("b"))).distinct())
     known = stage(connected(starred))  # node, group; fingerprints that aren't there are groups of one
 
     own = stage(distinct.join(known, distinct["simhash"] == known["node"], "left").select("simhash", F.coalesce("group", "simhash").alias("group")))
@@ -231,7 +236,7 @@ def links(distinct: DataFrame, within: int, parts: int | None = None) -> DataFra
         .join(largest, ["part", "key"], "left")
         .select("part", "key", "a", "ga", F.when(F.col("ga") == F.col("largest"), 1).otherwise(0).alias("list"))
     )
-    found = probing.join(held, ["part", "key", "list"]).filter(near & (F.col("ga") != F.col("gb")))
+    found = probing.join(held.hint("merge"), ["part", "key", "list"]).filter(near & (F.col("ga") != F.col("gb")))
     return starred.unionByName(found.select("a", "b"))
 
 

@@ -17,6 +17,7 @@ import __spark_entry__ as entry
 from telemetra.llm import decontaminate, mixing, order_minhash, queries, simhash
 from telemetra.llm.common import table, tokenizer_path
 from telemetra.llm.components import connected
+from telemetra.sources.staging import stage
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -133,6 +134,23 @@ def test_any_number_of_parts_finds_all(spark, parts):
     assert len({(mine[s], expected[s]) for s in mine}) == len(set(mine.values())) == len(set(expected.values()))
 
 
+def test_no_exploded_table_is_broadcast(spark):
+    """Nothing near a fingerprint's hundreds of probes goes through the driver, though no bucket is dense and Spark takes the table for small."""
+    rng = random.Random(4)
+    values = {rng.getrandbits(64) for _ in range(2000)}
+    values |= {v ^ sum(1 << b for b in rng.sample(range(64), 4)) for v in sorted(values)[:40]}
+    prints = [(simhash.signed(v), v) for v in sorted(values)]
+    distinct = stage(spark.createDataFrame([(s,) for s, _ in prints], "simhash LONG"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")
+    try:
+        pairs = {frozenset(r) for r in simhash.links(distinct, 4).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    array = np.array([v for _, v in prints], np.uint64)
+    near = np.argwhere(np.triu(np.bitwise_count(array[:, None] ^ array) <= 4, 1))
+    assert pairs == {frozenset((prints[a][0], prints[b][0])) for a, b in near} and len(pairs) >= 40
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500), (7, 3)]
     found = {r["node"]: r["group"] for r in connected(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
