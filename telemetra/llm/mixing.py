@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from telemetra.operators.scale import BROADCAST_GROUPS
 from telemetra.sources.staging import stage, stage_in_order
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +37,14 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def of_sources(rows: DataFrame, sources: int) -> DataFrame:
+    """``rows``, about one for each of the counted ``sources``, to be joined to those of documents: broadcast if few.
+
+    Left to itself, Spark broadcasts the documents' side, which it takes for as small as its compressed file.
+    """
+    return F.broadcast(rows) if sources <= BROADCAST_GROUPS else rows.hint("merge")
+
+
 def targets_by_weight(sizes: DataFrame, weights: Sequence[int], share: float, cap: float) -> DataFrame:
     """``source``, ``source_size``, ``target``: weights repeat over the sources by code point, NULL last.
 
@@ -65,7 +74,8 @@ def balance(cells: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
 
     A Newton step that leaves the interval known to hold the multiplier is replaced by its middle.
     """
-    named = targets.withColumnRenamed("source", "s")
+    sources = targets.count()
+    named = of_sources(targets.withColumnRenamed("source", "s"), sources)
     highest = F.log(F.lit(cap) / F.min("prior"))  # from here on all rates are at the cap
     state = cells.join(named, F.col("source").eqNullSafe(F.col("s"))).groupBy("source", "target").agg(
         F.lit(0.0).alias("multiplier"), F.lit(-60.0).alias("low"), highest.alias("high")
@@ -73,7 +83,7 @@ def balance(cells: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     state = stage(state.withColumn("multiplier", F.least(F.lit(0.0), F.col("high"))))
     for _ in range(MOST_STEPS):
         raw = F.col("prior") * F.exp("multiplier")
-        joined = cells.withColumnRenamed("source", "s").join(state, F.col("s").eqNullSafe(F.col("source"))).withColumn("raw", raw)
+        joined = cells.withColumnRenamed("source", "s").join(of_sources(state, sources), F.col("s").eqNullSafe(F.col("source"))).withColumn("raw", raw)
         sums = joined.groupBy("source", "target", "multiplier", "low", "high").agg(
             F.sum(F.col("size") * F.least("raw", F.lit(cap))).alias("taken"),
             F.sum(F.when(F.col("raw") < cap, F.col("size") * F.col("raw")).otherwise(0.0)).alias("slope"),
@@ -112,10 +122,11 @@ def mix(
     base = F.col(prior).cast("double") if prior else F.lit(1.0)
     sizes = stage(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), base.alias("prior")))
     targets = stage(targets_by_weight(sizes, weights, share, cap))
+    sources = targets.count()
     cells = stage(sizes.filter("size > 0").groupBy("source", "prior").agg(F.sum("size").alias("size")))
     multipliers = balance(cells, targets.filter("source_size > 0 AND target > 0"), cap)
     groups = targets.alias("t").join(multipliers.alias("m"), F.col("t.source").eqNullSafe(F.col("m.source")), "left").select("t.*", "m.multiplier")
-    rated = sizes.withColumnRenamed("source", "s").join(groups, F.col("s").eqNullSafe(F.col("source"))).drop("s")
+    rated = sizes.withColumnRenamed("source", "s").join(of_sources(groups, sources), F.col("s").eqNullSafe(F.col("source"))).drop("s")
     rate = F.when((F.col("size") == 0) | F.col("multiplier").isNull(), 0.0).otherwise(F.least(F.lit(cap), F.col("prior") * F.exp("multiplier")))
     # A rate a hair below a whole number, by rounding of the exponential, is that number.
     rated = rated.withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + 1e-9).cast("long"))
@@ -134,7 +145,7 @@ def mix(
     ahead = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_slice.select(F.col("source").alias("s"), F.col("_part").alias("p"), F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("start"))
     starts = starts.join(opened.withColumnRenamed("s", "g"), F.col("s").eqNullSafe(F.col("g"))).drop("g")  # a row for each slice and group in it
-    joined = sliced.join(starts, (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
+    joined = sliced.join(of_sources(starts, sources), (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
     in_slice = Window.partitionBy("_part", "source").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     sampled = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(in_slice), F.lit(0)))
     more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("open") - F.col("before")))

@@ -11,9 +11,11 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from telemetra.llm import decontaminate, mixing, order_minhash, queries, simhash
 from telemetra.llm.common import table, tokenizer_path
 from telemetra.llm.components import connected
@@ -151,6 +153,31 @@ def test_no_exploded_table_is_broadcast(spark):
     assert pairs == {frozenset((prints[a][0], prints[b][0])) for a, b in near} and len(pairs) >= 40
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """Broadcasts of more than 48 MB fail; the smallest by several columns takes a page, 32 MB with this much memory."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "48m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+def test_pipeline_broadcasts_no_exploded_table(spark, small_broadcasts):
+    """The pipeline's stage of near duplicates on texts that are all different, so that no bucket is dense."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(12)) for _ in range(20_000)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*texts, *texts[:50]])]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    kept = corpus_pipeline.distinct(spark, stage(docs), SF_DIR).collect()
+    assert sorted(map(tuple, kept)) == rows[:20_000]
+
+
+def test_mixture_broadcasts_no_documents(spark, small_broadcasts):
+    """Ids, sizes and sources of documents are small on disk, but not in the driver's memory."""
+    docs = stage(spark.range(500_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"), F.lit("two words").alias("text")))
+    found = mixing.mix(docs).groupBy("source_size", "target").agg(F.count("*"), F.sum("taken")).collect()
+    assert sorted(tuple(r)[2:] for r in found) == [(250_000, round(r["target"])) for r in sorted(found, key=lambda r: r["target"])]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500), (7, 3)]
     found = {r["node"]: r["group"] for r in connected(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
